@@ -1,0 +1,219 @@
+"""Exact top-k for many queries: visit only the cells that can matter.
+
+Distance-based cells after Lu et al., "Efficient processing of k nearest
+neighbor joins using MapReduce" (VLDB 2012), on Spark joins:
+
+1. Copies collapse: of equal corpus vectors only the k smallest ids can rank;
+   equal query vectors are answered once.
+2. Pivots are corpus vectors picked by hash; every corpus row joins the cell
+   of its nearest pivot.  Per cell the radius and row count are kept.
+3. Each query meets its own cell first.  Its k-th similarity there bounds how
+   far away a better row can be; the cell radii say which other cells reach
+   that close, and it meets those too.
+4. A meeting is a join on (cell, query block, corpus block).  Blocks hold a
+   bounded number of rows whatever the size of the cell, and a block pair
+   gives back k rows per query, never its pairs.
+
+To make "larger dot product" and "smaller distance" the same thing for rows
+shorter than one (an empty text is the zero vector), rows get one extra
+coordinate that lifts them to unit length and queries get a zero there.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from earshot.operators import similar as S
+from earshot.operators.hold import hold
+
+
+def _vector_key() -> tuple[Column, str]:
+    """Grouping key for equal vectors; the hash makes comparisons cheap."""
+    return F.xxhash64("_vector").alias("_hash"), "_vector"
+
+
+
+def _plus(schema: T.StructType, **columns: T.DataType) -> T.StructType:
+    return T.StructType([*schema.fields, *(T.StructField(n, t) for n, t in columns.items())])
+
+
+def _lift(vectors: np.ndarray) -> np.ndarray:
+    squared = np.einsum("ij,ij->i", vectors, vectors)
+    if len(squared) and squared.max() > 1 + S.SLACK:
+        raise ValueError("vectors must not be longer than 1")
+    return np.hstack([vectors, np.sqrt(np.maximum(0.0, 1.0 - squared))[:, None]])
+
+
+def _distances(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    squared = (
+        np.einsum("ij,ij->i", points, points)[:, None]
+        + np.einsum("ij,ij->i", pivots, pivots)[None, :]
+        - 2.0 * points @ pivots.T
+    )
+    return np.sqrt(np.maximum(squared, 0.0))
+
+
+def _slices(batch: pa.RecordBatch, pivots: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose distance table stays within a block."""
+    rows = max(1, S.BLOCK_ROWS * S.BLOCK_ROWS // 4 // len(pivots))
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
+def _without_copies(known: DataFrame, k: int) -> DataFrame:
+    """The k smallest ids of each distinct vector.  Spark prunes to k per
+    vector in every map task, so a mass of copies is never shuffled."""
+    copies = Window.partitionBy(*_vector_key()).orderBy("neighbour_id")
+    numbered = known.withColumn("_copy", F.row_number().over(copies))
+    return numbered.where(F.col("_copy") <= k).drop("_copy")
+
+
+def _pivots(known: DataFrame, rows: int) -> np.ndarray:
+    wanted = min(S.MAX_PIVOTS, math.ceil(math.sqrt(rows)))
+    picked = known.select(*_vector_key()).distinct().orderBy("_hash", "_vector").limit(wanted)
+    return _lift(S._matrix(picked.select("_vector").toArrow().column("_vector")))
+
+
+def _with_cell(known: DataFrame, pivots: np.ndarray) -> DataFrame:
+    shared = known.sparkSession.sparkContext.broadcast(pivots)
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in _slices(whole, shared.value):
+                away = _distances(_lift(S._matrix(batch.column("_vector"))), shared.value)
+                cell = away.argmin(axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *batch.columns,
+                        pa.array(cell.astype(np.int32)),
+                        pa.array(away[np.arange(len(cell)), cell]),
+                    ],
+                    names=[*batch.schema.names, "cell", "distance"],
+                )
+
+    schema = _plus(known.schema, cell=T.IntegerType(), distance=T.DoubleType())
+    return known.mapInArrow(assign, schema)
+
+
+def _visits(asked: DataFrame, pivots: np.ndarray, radius: np.ndarray, first: bool) -> DataFrame:
+    """(query_id, _vector, cell) rows: each query's own cell, or all others
+    that reach within its ``bound``."""
+    shared = asked.sparkSession.sparkContext.broadcast((pivots, radius))
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivots, radius = shared.value
+        for whole in batches:
+            for batch in _slices(whole, pivots):
+                vectors = S._matrix(batch.column("_vector"))
+                away = _distances(np.pad(vectors, ((0, 0), (0, 1))), pivots)
+                query, cell = np.arange(len(away)), away.argmin(axis=1)
+                if not first:
+                    bound = batch.column("bound").to_numpy(zero_copy_only=False)
+                    reach = away - radius[None, :] <= bound[:, None] + S.SLACK
+                    reach[query, cell] = False
+                    query, cell = np.nonzero(reach)
+                rows = batch.select(["query_id", "_vector"]).take(pa.array(query))
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, pa.array(cell.astype(np.int32))],
+                    names=["query_id", "_vector", "cell"],
+                )
+
+    schema = _plus(asked.select("query_id", "_vector").schema, cell=T.IntegerType())
+    return asked.mapInArrow(visit, schema)
+
+
+def _per_cell(values: np.ndarray) -> Column:
+    """Value of the row's cell, from a constant array of at most MAX_PIVOTS."""
+    return F.element_at(F.lit([int(v) for v in values]), F.col("cell") + 1)
+
+
+def _blocks(rows_per_cell: np.ndarray) -> np.ndarray:
+    return np.ceil(rows_per_cell / S.BLOCK_ROWS).astype(int)
+
+
+def _counts(table: DataFrame, cells: int) -> np.ndarray:
+    counts = np.zeros(cells, dtype=np.int64)
+    for cell, n in table.groupBy("cell").count().collect():  # at most MAX_PIVOTS rows
+        counts[cell] = n
+    return counts
+
+
+def _meet(visits: DataFrame, known: DataFrame, known_count: np.ndarray, k: int) -> DataFrame:
+    """k best corpus rows per visiting query and corpus block."""
+    asked_blocks = _blocks(_counts(visits, len(known_count)))
+    known_blocks = _blocks(known_count)
+    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    left = visits.select(
+        "*",
+        F.pmod(F.xxhash64("query_id"), _per_cell(asked_blocks)).cast("int").alias("asked_block"),
+        each(_per_cell(known_blocks)).alias("known_block"),
+    )
+    visited = known.drop("distance").where(_per_cell(asked_blocks) > 0)
+    right = visited.select(
+        "*",
+        F.pmod(F.xxhash64("neighbour_id"), _per_cell(known_blocks)).cast("int").alias("known_block"),
+        each(_per_cell(asked_blocks)).alias("asked_block"),
+    )
+    keys = ("cell", "asked_block", "known_block")
+    schema = S._candidate_schema(visits, visited.drop("cell"))
+    names = schema.fieldNames()
+
+    def best(asked: pa.Table, rows: pa.Table) -> pa.Table:
+        if not asked.num_rows or not rows.num_rows:
+            return pa.table({n: [] for n in names})
+        query, found = S._top_of_block(S._matrix(asked.column("_vector")), rows, k)
+        ids = asked.column("query_id").take(pa.array(query))
+        return found.append_column("query_id", ids).select(names)
+
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(best, schema)
+
+
+def cell_candidates(asked: DataFrame, known: DataFrame, k: int) -> DataFrame:
+    """Rows among which every query's k nearest are found."""
+    rows = hold(_without_copies(known, k))
+    total = rows.count()
+    if total == 0:
+        return asked.join(known.withColumn("similarity", F.lit(0.0)).limit(0), F.lit(False)).drop(
+            "_vector"
+        )
+    pivots = _pivots(rows, total)
+    rows = hold(_with_cell(rows, pivots))
+    radius, count = np.zeros(len(pivots)), np.zeros(len(pivots), dtype=np.int64)
+    stats = rows.groupBy("cell").agg(F.max("distance").alias("r"), F.count("*").alias("n"))
+    for cell, r, n in stats.collect():  # at most MAX_PIVOTS rows
+        radius[cell], count[cell] = r, n
+
+    # One query per distinct vector.
+    single = hold(asked.groupBy(*_vector_key()).agg(F.min("query_id").alias("query_id")))
+    near = hold(S.rank_neighbours(_meet(_visits(single, pivots, radius, True), rows, count, k), k))
+    # Squared distance of the k-th similarity s: |q|^2 + 1 - 2s.
+    length = F.aggregate(
+        F.transform("_vector", lambda x: x.cast("double") * x), F.lit(0.0), lambda a, x: a + x
+    )
+    kth = near.where(F.col("rank") == k).select("query_id", F.col("similarity").alias("_kth"))
+    bound = F.sqrt(F.greatest(F.lit(0.0), length + 1 + S.SLACK - 2 * F.col("_kth")))
+    bounded = hold(
+        single.join(kth, "query_id", "left").select(
+            "query_id", "_vector", F.coalesce(bound, F.lit(math.inf)).alias("bound")
+        )
+    )
+    far = _meet(_visits(bounded, pivots, radius, False), rows, count, k)
+    best = S.rank_neighbours(near.drop("rank").unionByName(far), k)
+
+    # Back to every query: its vector's answer, as one short array per vector.
+    answer = [c for c in best.columns if c not in ("query_id", "rank")]
+    answers = best.groupBy("query_id").agg(F.collect_list(F.struct(*answer)).alias("_answer"))
+    by_vector = single.join(answers, "query_id").drop("query_id")
+    everyone = asked.select("query_id", *_vector_key())
+    return (
+        everyone.join(by_vector, ["_hash", "_vector"])
+        .select("query_id", F.explode("_answer").alias("_a"))
+        .select("query_id", *(F.col(f"_a.{c}").alias(c) for c in answer))
+    )
