@@ -187,7 +187,7 @@ def ranked(queries: str, corpus: str, k: int, extra: str = "") -> str:
     return f"""SELECT * FROM (
   SELECT q.id AS query_id, c.id AS neighbour_id, {extra}
     round(list_inner_product(q.v, c.v), 9) AS similarity,
-    row_number() OVER (PARTITION BY q.id ORDER BY round(list_inner_product(q.v, c.v), 9) DESC, c.id) AS rank
+    row_number() OVER (PARTITION BY q.id ORDER BY round(list_inner_product(q.v, c.v), 9) DESC, c.id)::INTEGER AS rank
   FROM {queries} q CROSS JOIN {corpus} c) WHERE rank <= {k}"""
 
 
@@ -222,10 +222,12 @@ neighbours AS ({ranked('test', 'train', 5, 'c.intent AS label,')}), {VOTES}"""
 
 def sentiment_cte() -> str:
     cues = lambda listed: (
-        f"len(list_filter({lits(listed)}, lambda w: list_contains({words(folded('cleaned_text'))}, w)))"
+        f"len(list_filter({lits(listed)}, lambda w: list_contains(found, w)))"
     )
-    return f"""{cleaned_cte()}, cues AS MATERIALIZED (
-  SELECT *, {cues(C.NEGATIVE_WORDS)} AS cn, {cues(C.POSITIVE_WORDS)} AS cp FROM cleaned
+    return f"""{cleaned_cte()}, worded AS MATERIALIZED (
+  SELECT *, {words(folded('cleaned_text'))} AS found FROM cleaned
+), cues AS MATERIALIZED (
+  SELECT * EXCLUDE (found), {cues(C.NEGATIVE_WORDS)} AS cn, {cues(C.POSITIVE_WORDS)} AS cp FROM worded
 ), powers AS (
   SELECT *, power(cn + 1, 2) AS a, exp({C.NEUTRAL_LOGIT}) AS b, power(cp + 1, 2) AS c FROM cues
 ), sentiment AS (
@@ -252,7 +254,7 @@ def top_words_cte(n: int) -> str:
     / sum(tf) OVER (PARTITION BY term)), 9) AS weight FROM tf
 ), top_words AS (
   SELECT * FROM (SELECT topic, term, weight,
-    row_number() OVER (PARTITION BY topic ORDER BY weight DESC, term) AS rank FROM weighted WHERE topic <> -1)
+    row_number() OVER (PARTITION BY topic ORDER BY weight DESC, term)::INTEGER AS rank FROM weighted WHERE topic <> -1)
   WHERE rank <= {n}
 )"""
 
