@@ -117,7 +117,7 @@ def intent_distribution(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def preview_per_channel(spark: SparkSession, sf: str) -> DataFrame:
-    return evaluate.preview_per_channel(_cleaned(spark, sf))
+    return evaluate.preview_per_channel(read_demo_contacts(spark, sf))
 
 
 def holdout_per_channel(spark: SparkSession, sf: str) -> DataFrame:
@@ -147,9 +147,13 @@ def topk_similar_cells(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def topk_per_channel(spark: SparkSession, sf: str) -> DataFrame:
-    queries, corpus = evaluate.hold_out_one_per_key(_cleaned(spark, sf))
-    found = similar.top_k_similar(embed.embed_hashing(queries), embed.embed_hashing(corpus), 3)
-    return _rounded(evaluate.describe_neighbours(found, queries, corpus), "similarity")
+    contacts = read_demo_contacts(spark, sf)
+    queries, corpus = (
+        embed.embed_hashing(clean.preprocess(side).select("contact_id", "cleaned_text"))
+        for side in evaluate.hold_out_one_per_key(contacts)
+    )
+    found = similar.top_k_similar(queries, corpus, 3)
+    return _rounded(evaluate.describe_neighbours(found, contacts), "similarity")
 
 
 def knn_predict(spark: SparkSession, sf: str) -> DataFrame:
@@ -238,7 +242,7 @@ def topic_alignment(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def topic_fit(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = embed.embed_hashing(_cleaned(spark, sf))
+    vectors = embed.embed_hashing(_cleaned(spark, sf)).select("contact_id", "intent", "embedding")
     fitted = topics.fit_topics(vectors, min_topic_size=5, nr_topics=8)
     return topics.crosstab(fitted)
 

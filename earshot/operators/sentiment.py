@@ -14,10 +14,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from earshot import constants as C
 from earshot.functions import text as X
+from earshot.operators.embed import batched
 
 # Fixed value: texts handed to a plugged-in scorer at a time.
 SCORER_BATCH = 16
@@ -70,26 +70,19 @@ def score_with(
 ) -> DataFrame:
     """The same columns from a plugged-in model: texts -> (n, 3) logits.
 
-    ``load_scorer`` runs once per task, on the executor, when the first
-    non-empty batch arrives."""
+    ``load_scorer`` runs once per task, on the executor, when the first batch
+    arrives."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("array<double>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = None
         for batch in batches:
-            texts = [t or "" for t in batch.column(text_col).to_pylist()]
-            parts = [np.zeros((0, 3))]
-            for at in range(0, len(texts), batch_size):
-                scorer = scorer or load_scorer()
-                parts.append(np.asarray(scorer(texts[at : at + batch_size]), dtype=np.float64))
-            logits = np.vstack(parts)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *(pa.array(logits[:, i]) for i in range(3))],
-                names=[*batch.schema.names, "_l0", "_l1", "_l2"],
-            )
-
-    extra = [T.StructField(f"_l{i}", T.DoubleType()) for i in range(3)]
-    rows = contacts.mapInArrow(run, T.StructType([*contacts.schema.fields, *extra]))
-    return _attach(rows, [F.col(f"_l{i}") for i in range(3)]).drop("_l0", "_l1", "_l2")
+            scorer = scorer or load_scorer()
+            logits = batched(batch.to_pylist(), batch_size, scorer, 3)
+            yield pa.array(list(logits), type=pa.list_(pa.float64()))
+
+    rows = contacts.withColumn("_logits", run(F.coalesce(text_col, F.lit(""))))
+    return _attach(rows, [F.col("_logits")[i] for i in range(3)]).drop("_logits")
 
 
 def sentiment_distribution(scored: DataFrame) -> DataFrame:
@@ -128,12 +121,16 @@ def top_negative(
 ) -> DataFrame:
     """The n negative contacts scored most confidently, with a preview.
 
-    A running top n per task, then n rows: nothing is sorted as a whole."""
+    A running top n per task, then n rows: nothing is sorted as a whole.
+    Negatives are put first rather than filtered first: a filter would be
+    pushed below the scoring and score every text twice.
+    """
+    negative = F.col("sentiment_label") == "negative"
     text = F.col(text_col)
     preview = F.concat(F.substring(text, 1, 110), F.when(F.length(text) > 110, "...").otherwise(""))
     return (
-        scored.where(F.col("sentiment_label") == "negative")
-        .orderBy(F.desc("sentiment_confidence"), id_col)
+        scored.orderBy(F.desc(negative), F.desc("sentiment_confidence"), id_col)
         .limit(n)
+        .where(negative)
         .select(id_col, "intent", "channel", "sentiment_confidence", preview.alias("preview"))
     )

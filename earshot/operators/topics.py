@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from earshot import constants as C
 from earshot.functions import text as X
+from earshot.operators.hold import hold
 from earshot.operators.similar import RANK_DECIMALS
 
 MAX_TOPICS = 64
@@ -55,7 +56,12 @@ def fit_topics(
     max_topics: int = MAX_TOPICS,
     seed: int = 42,
 ) -> DataFrame:
-    """Add ``topic``: 0 is the largest, -1 an outlier."""
+    """Add ``topic``: 0 is the largest, -1 an outlier.
+
+    The rows are read several times, so they are held; pass only the columns
+    needed afterwards.
+    """
+    contacts = hold(contacts)
     rows = contacts.count()
     if rows == 0:
         raise ValueError("fit_topics() needs at least one contact")
