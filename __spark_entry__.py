@@ -50,7 +50,7 @@ def _given_topics(spark: SparkSession, sf: str) -> DataFrame:
     given = _given_vectors(spark, sf).select(
         F.col("vec_id").alias("contact_id"), (F.col("label") - 1).alias("topic"), "embedding"
     )
-    return _cleaned(spark, sf).join(given, "contact_id")
+    return clean.preprocess(read_demo_contacts(spark, sf).join(given, "contact_id"))
 
 
 def _rounded(table: DataFrame, *columns: str) -> DataFrame:
@@ -127,9 +127,10 @@ def holdout_per_channel(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def embed_hashing(spark: SparkSession, sf: str) -> DataFrame:
+    # The outer form: the plain one adds a filter that encodes every text twice.
     vectors = embed.embed_hashing(_cleaned(spark, sf))
     return (
-        vectors.select("contact_id", F.posexplode("embedding").alias("bucket", "value"))
+        vectors.select("contact_id", F.posexplode_outer("embedding").alias("bucket", "value"))
         .where(F.col("value") != 0)
         .select("contact_id", F.col("bucket").cast("long"), F.round(F.col("value").cast("double"), 6).alias("value"))
     )

@@ -95,18 +95,22 @@ def top_words(
 
     Class-based TF-IDF (arXiv:2203.05794): ``tf * ln(1 + A / f)`` with f the
     term's total and A the mean number of terms per topic.  Outliers count
-    towards f and A but are not listed.  Counting shrinks the text to one row
-    per topic and term before the first shuffle.
+    towards f and A but are not listed.
+
+    Counting shrinks the text to one row per topic and term before the first
+    shuffle, and the mean reuses that shuffle.  The window over a term holds
+    one row per topic; it also keeps the outlier filter from being pushed into
+    the counts, which would then be made twice.
     """
     counts = term_counts(contacts, text_col)
     totals = counts.groupBy("topic").agg(F.sum("tf").alias("terms"))
     mean_terms = totals.agg(F.avg("terms")).scalar()
-    overall = counts.groupBy("term").agg(F.sum("tf").alias("f"))
+    overall = F.sum("tf").over(Window.partitionBy("term"))
     weight = F.round(F.col("tf") * F.log(1 + mean_terms / F.col("f")), RANK_DECIMALS)
     best = Window.partitionBy("topic").orderBy(F.desc("weight"), "term")
     return (
-        counts.where(F.col("topic") != C.OUTLIER_TOPIC)
-        .join(overall, "term")
+        counts.withColumn("f", overall)
+        .where(F.col("topic") != C.OUTLIER_TOPIC)
         .select("topic", "term", weight.alias("weight"))
         .withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= n_words)

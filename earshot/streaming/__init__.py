@@ -1,0 +1 @@
+"""The row-wise stages over a stream of contact files."""
