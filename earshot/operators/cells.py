@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +61,20 @@ def _distances(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0.0))
 
 
+class Cells(NamedTuple):
+    radius: np.ndarray
+    count: np.ndarray
+
+
+def _measure(rows: DataFrame, cells: int) -> Cells:
+    """Radius and row count per cell."""
+    found = Cells(np.zeros(cells), np.zeros(cells, dtype=np.int64))
+    stats = rows.groupBy("cell").agg(F.max("distance").alias("r"), F.count("*").alias("n"))
+    for cell, r, n in stats.collect():  # at most MAX_PIVOTS rows
+        found.radius[cell], found.count[cell] = r, n
+    return found
+
+
 def _slices(batch: pa.RecordBatch, pivots: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose distance table stays within a block."""
     rows = max(1, S.BLOCK_ROWS * S.BLOCK_ROWS // 4 // len(pivots))
@@ -102,20 +117,32 @@ def _with_cell(known: DataFrame, pivots: np.ndarray) -> DataFrame:
     return known.mapInArrow(assign, schema)
 
 
-def _visits(asked: DataFrame, pivots: np.ndarray, radius: np.ndarray, first: bool) -> DataFrame:
+def _widest(away: np.ndarray, radius: np.ndarray, count: np.ndarray, k: int) -> np.ndarray:
+    """A distance within which each query surely has k rows: the smallest t
+    such that the cells lying wholly within t hold k rows together."""
+    outer = away + radius[None, :]
+    order = outer.argsort(axis=1)
+    enough = count[order].cumsum(axis=1) >= k
+    within = np.take_along_axis(outer, order, axis=1)[np.arange(len(away)), enough.argmax(axis=1)]
+    return np.where(enough[:, -1], within, np.inf)
+
+
+def _visits(asked: DataFrame, pivots: np.ndarray, cells: Cells, k: int, first: bool) -> DataFrame:
     """(query_id, _vector, cell) rows: each query's own cell, or all others
     that reach within its ``bound``."""
-    shared = asked.sparkSession.sparkContext.broadcast((pivots, radius))
+    shared = asked.sparkSession.sparkContext.broadcast((pivots, cells.radius, cells.count))
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivots, radius = shared.value
+        pivots, radius, count = shared.value
         for whole in batches:
             for batch in _slices(whole, pivots):
                 vectors = S._matrix(batch.column("_vector"))
                 away = _distances(np.pad(vectors, ((0, 0), (0, 1))), pivots)
                 query, cell = np.arange(len(away)), away.argmin(axis=1)
                 if not first:
-                    bound = batch.column("bound").to_numpy(zero_copy_only=False)
+                    bound = batch.column("bound").to_numpy(zero_copy_only=False).copy()
+                    open_end = np.isinf(bound)
+                    bound[open_end] = _widest(away[open_end], radius, count, k)
                     reach = away - radius[None, :] <= bound[:, None] + S.SLACK
                     reach[query, cell] = False
                     query, cell = np.nonzero(reach)
@@ -185,26 +212,24 @@ def cell_candidates(asked: DataFrame, known: DataFrame, k: int) -> DataFrame:
         )
     pivots = _pivots(rows, total)
     rows = hold(_with_cell(rows, pivots))
-    radius, count = np.zeros(len(pivots)), np.zeros(len(pivots), dtype=np.int64)
-    stats = rows.groupBy("cell").agg(F.max("distance").alias("r"), F.count("*").alias("n"))
-    for cell, r, n in stats.collect():  # at most MAX_PIVOTS rows
-        radius[cell], count[cell] = r, n
+    cells = _measure(rows, len(pivots))
 
     # One query per distinct vector.
     single = hold(asked.groupBy(*_vector_key()).agg(F.min("query_id").alias("query_id")))
-    near = hold(S.rank_neighbours(_meet(_visits(single, pivots, radius, True), rows, count, k), k))
+    own = _visits(single, pivots, cells, k, first=True)
+    near = hold(S.rank_neighbours(_meet(own, rows, cells.count, k), k))
     # Squared distance of the k-th similarity s: |q|^2 + 1 - 2s.
     length = F.aggregate(
         F.transform("_vector", lambda x: x.cast("double") * x), F.lit(0.0), lambda a, x: a + x
     )
     kth = near.where(F.col("rank") == k).select("query_id", F.col("similarity").alias("_kth"))
-    bound = F.sqrt(F.greatest(F.lit(0.0), length + 1 + S.SLACK - 2 * F.col("_kth")))
+    reach = F.sqrt(F.greatest(F.lit(0.0), length + 1 + S.SLACK - 2 * F.col("_kth")))
+    # Fewer than k rows in the own cell: no bound from there.
+    bound = F.when(F.col("_kth").isNull(), F.lit(math.inf)).otherwise(reach)
     bounded = hold(
-        single.join(kth, "query_id", "left").select(
-            "query_id", "_vector", F.coalesce(bound, F.lit(math.inf)).alias("bound")
-        )
+        single.join(kth, "query_id", "left").select("query_id", "_vector", bound.alias("bound"))
     )
-    far = _meet(_visits(bounded, pivots, radius, False), rows, count, k)
+    far = _meet(_visits(bounded, pivots, cells, k, first=False), rows, cells.count, k)
     best = S.rank_neighbours(near.drop("rank").unionByName(far), k)
 
     # Back to every query: its vector's answer, as one short array per vector.
