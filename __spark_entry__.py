@@ -7,7 +7,7 @@ every row and whole texts.
 from __future__ import annotations
 
 import sys
-import tempfile
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -20,7 +20,8 @@ from checks.oracle import statements
 from earshot import constants as C
 from earshot.functions import channels
 from earshot.operators import classify, clean, embed, evaluate, knn, sentiment, similar, topics
-from earshot.session import ship_package
+from earshot.operators.hold import shared_folder
+from earshot.session import prepare_session
 from earshot.sources.contacts import CLEANED_CONTACT, read_contacts, write_contacts
 from earshot.sources.demo_contacts import read_demo_contacts
 
@@ -181,7 +182,7 @@ def knn_eval(spark: SparkSession, sf: str) -> DataFrame:
 def disagreements(spark: SparkSession, sf: str) -> DataFrame:
     test, predictions = _knn_on_contacts(_cleaned(spark, sf))
     differing = evaluate.disagreements(classify.classify_with_confidence(test), predictions)
-    return _rounded(differing.drop("cleaned_text"), "knn_confidence")
+    return _rounded(differing, "knn_confidence")
 
 
 def train_test_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -250,8 +251,10 @@ def topic_fit(spark: SparkSession, sf: str) -> DataFrame:
 
 def jsonl_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Cleaned contacts written as JSON lines with a notice, and read back."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    path = f"{shared or tempfile.mkdtemp(prefix='earshot-')}/jsonl_roundtrip"
+    folder = shared_folder(spark)
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    path = f"{folder}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     write_contacts(_cleaned(spark, sf), path, notice="illustrative data")
     return read_contacts(spark, path, CLEANED_CONTACT)
 
@@ -262,7 +265,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _shipped(query: Query) -> Query:
-    return lambda spark, sf: query(ship_package(spark), sf)
+    return lambda spark, sf: query(prepare_session(spark), sf)
 
 
 def queries() -> dict[str, Query]:

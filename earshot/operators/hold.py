@@ -1,27 +1,47 @@
-"""Keeping a table that several later jobs read."""
+"""Keeping a table that several later jobs read, and small join sides."""
 
 from __future__ import annotations
 
 import tempfile
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Rows a broadcast join side may have: narrow rows, so some tens of MiB.
+MAX_BROADCAST_ROWS = 100_000
+
+
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder named by ``spark.checkpoint.dir``; a local session that
+    names none gets a folder of its own, a cluster gets None."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and spark.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="earshot-shared-")
+    return folder
 
 
 def hold(table: DataFrame) -> DataFrame:
     """Compute ``table`` once for several readers and cut its lineage.
 
-    On a cluster this is a checkpoint in the shared folder named by
-    ``spark.checkpoint.dir``, which survives the loss of executors.  A cluster
-    that names none gets ``persist``, whose lost parts are recomputed; only a
-    local session makes a folder of its own.
+    A checkpoint in the shared folder survives the loss of executors.  Where
+    the cluster has none, ``persist``: lost parts are recomputed.
     """
     context = table.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = table.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="earshot-checkpoint-")
+        folder = shared_folder(table.sparkSession)
         if folder is None:
             return table.persist(StorageLevel.MEMORY_AND_DISK)
         context.setCheckpointDir(folder)
     return table.checkpoint()
+
+
+def small_side(table: DataFrame) -> DataFrame:
+    """A join side that is expected to be small and is shown to be.
+
+    Spark cannot tell the size of an aggregate beforehand and would shuffle
+    the big side to be safe.  The table is computed and counted; within
+    MAX_BROADCAST_ROWS it is broadcast, beyond it Spark joins as usual.
+    """
+    held = hold(table)
+    return F.broadcast(held) if held.count() <= MAX_BROADCAST_ROWS else held

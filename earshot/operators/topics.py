@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from earshot import constants as C
 from earshot.functions import text as X
-from earshot.operators.hold import hold
+from earshot.operators.hold import hold, small_side
 from earshot.operators.similar import RANK_DECIMALS
 
 MAX_TOPICS = 64
@@ -141,7 +141,7 @@ def representatives(
     nearest = Window.partitionBy("topic").orderBy(F.desc("similarity"), id_col)
     return (
         contacts.select("topic", id_col, vector_col)
-        .join(centres, "topic")
+        .join(small_side(centres), "topic")
         .select("topic", id_col, similarity.alias("similarity"))
         .withColumn("rank", F.row_number().over(nearest))
         .where(F.col("rank") <= n)

@@ -15,7 +15,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from earshot.plans import jobs
-from earshot.session import ship_package
+from earshot.session import prepare_session
 from earshot.sources.contacts import read_contacts, write_parquet
 
 JOBS = {
@@ -43,7 +43,7 @@ def main() -> None:
     parser.add_argument("source")
     parser.add_argument("target")
     args = parser.parse_args()
-    spark = ship_package(SparkSession.builder.appName(f"earshot-{args.job}").getOrCreate())
+    spark = prepare_session(SparkSession.builder.appName(f"earshot-{args.job}").getOrCreate())
     for name, table in run(spark, args.job, args.source, args.target).items():
         if name not in BIG_TABLES:
             print(name)

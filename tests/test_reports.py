@@ -181,7 +181,7 @@ def test_knn_evaluation_and_disagreements(spark):
     assert tuple(evaluate.evaluate_knn(predictions, test.limit(0)).first()) == (0, 0, None)
     differing = evaluate.disagreements(test, predictions)
     assert sorted(r["query_id"] for r in differing.collect()) == [2, 4]
-    shown = evaluate.show_disagreements(differing, 1).collect()
+    shown = evaluate.show_disagreements(differing, test, 1).collect()
     assert [(r["query_id"], r["rule_intent"], r["knn_intent"], r["preview"]) for r in shown] == [(2, None, "A", "t2")]
 
 
