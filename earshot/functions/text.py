@@ -18,7 +18,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WORD = r"\p{L}\p{N}_"
-SPACE = r"\t-\r\x1c-\x20\x85\p{Z}"
+# Single characters rather than ranges: the JVM tests those with one lookup.
+SPACE = r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x20\x85\p{Z}"
 
 BEFORE_WORD = f"(?<![{WORD}])"
 AFTER_WORD = f"(?![{WORD}])"
@@ -66,10 +67,10 @@ def collapse_spaces(text: Column) -> Column:
     """Runs of white space become one space; both ends are stripped.
 
     Single plain spaces, the common case, are left alone instead of being
-    matched and rewritten one by one.
+    rewritten one by one: after a first white-space character either more
+    follow, or it must not be a plain space.
     """
-    run = rf"[{SPACE}]{{2,}}|[{SPACE}&&[^ ]]"
-    return F.trim(F.regexp_replace(text, run, " "))
+    return F.trim(F.regexp_replace(text, rf"[{SPACE}](?:[{SPACE}]++|(?<! ))", " "))
 
 
 def fold_case(text: Column) -> Column:
