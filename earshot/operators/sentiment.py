@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from earshot import constants as C
@@ -85,6 +85,13 @@ def score_with(
     return _attach(rows, [F.col("_logits")[i] for i in range(3)]).drop("_logits")
 
 
+def score_one(
+    spark: SparkSession, text: str, score: Callable[[DataFrame], DataFrame] = score_sentiment
+) -> Row:
+    """Label, confidence and scores of one text."""
+    return score(spark.createDataFrame([(text,)], "cleaned_text string")).first()
+
+
 def sentiment_distribution(scored: DataFrame) -> DataFrame:
     """(sentiment_label, n, pct): the three labels in fixed order, zeros
     shown; 0.0 % on empty input.  One global aggregate, then three rows."""

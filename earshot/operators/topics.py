@@ -8,6 +8,8 @@ table with a ``topic`` column.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 
 from earshot import constants as C
 from earshot.functions import text as X
+from earshot.operators.embed import embed_hashing
 from earshot.operators.hold import hold, small_side
 from earshot.operators.similar import RANK_DECIMALS
 
@@ -67,10 +70,13 @@ def fit_topics(
         raise ValueError("fit_topics() needs at least one contact")
     wanted = min(max_topics, MAX_TOPICS, max(1, rows // max(1, min_topic_size)))
     vectors = contacts.withColumn("_features", array_to_vector(vector_col))
-    model = KMeans(k=max(2, wanted), seed=seed, featuresCol="_features", predictionCol="_cluster")
+    # The row solver copes with fewer distinct vectors than clusters.
+    model = KMeans(
+        k=max(2, wanted), seed=seed, solver="row", featuresCol="_features", predictionCol="_cluster"
+    )
     fitted = model.fit(vectors.select("_features"))
     centres = np.stack(fitted.clusterCenters())
-    sizes = np.asarray(fitted.summary.clusterSizes)
+    sizes = np.asarray(fitted.summary.clusterSizes)[: len(centres)]
     topic = merge_topics(centres, sizes, min_topic_size, nr_topics)
     assigned = fitted.transform(vectors)
     of_cluster = F.element_at(F.lit(topic), F.col("_cluster") + 1)
@@ -234,3 +240,44 @@ def alignment(contacts: DataFrame, intent_col: str = "intent") -> DataFrame:
     return per_topic.agg(
         F.count_if("aligned").alias("aligned_topics"), F.count("*").alias("total_topics")
     ).withColumn("verdict", verdict)
+
+
+class TopicModeller:
+    """Fit on cleaned contacts, then ask for the descriptions.
+
+    ``embed`` maps a DataFrame with ``cleaned_text`` to one with ``embedding``.
+    """
+
+    def __init__(
+        self,
+        min_topic_size: int = 5,
+        nr_topics: int | None = None,
+        embed: Callable[[DataFrame], DataFrame] = embed_hashing,
+        id_col: str = "contact_id",
+    ):
+        self.min_topic_size, self.nr_topics = min_topic_size, nr_topics
+        self.embed, self.id_col = embed, id_col
+        self._fitted: DataFrame | None = None
+
+    def fit(self, contacts: DataFrame) -> TopicModeller:
+        rows = self.embed(contacts.select(self.id_col, "intent", "cleaned_text"))
+        self._fitted = fit_topics(rows, self.min_topic_size, self.nr_topics)
+        return self
+
+    @property
+    def fitted(self) -> DataFrame:
+        if self._fitted is None:
+            raise RuntimeError("fit() has not been called")
+        return self._fitted
+
+    def topic_info(self, n_words: int = 5) -> DataFrame:
+        return topic_info(self.fitted, n_words, id_col=self.id_col)
+
+    def top_words_per_topic(self, n_words: int = 5) -> DataFrame:
+        return top_words(self.fitted, n_words)
+
+    def assignments(self) -> DataFrame:
+        return assignments(self.fitted, self.id_col)
+
+    def cross_tab_against_intents(self) -> DataFrame:
+        return crosstab(self.fitted)

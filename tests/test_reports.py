@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from earshot import constants as C
 from earshot.operators import evaluate, sentiment, topics
+from earshot.operators.embed import embed_one
 
 
 def scored(spark, rows):
@@ -34,6 +35,12 @@ def test_default_sentiment(spark):
     assert math.isclose(rows[0]["sentiment_confidence"], two / (two + math.e + 1))
 
 
+def test_single_texts(spark):
+    row = sentiment.score_one(spark, "awful and useless")
+    assert row["sentiment_label"] == "negative"
+    assert math.isclose(sum(x * x for x in embed_one(spark, "one two two")), 1.0, rel_tol=1e-6)
+
+
 def test_plugged_in_scorer(spark):
     def load():
         return lambda texts: np.array([[0.0, 0.0, len(t)] for t in texts])
@@ -131,6 +138,19 @@ def test_fit_topics(spark):
         topics.fit_topics(table.limit(0))
 
 
+def test_topic_modeller(spark):
+    rows = [(i, "A" if i % 2 else "B", "parcel lost again" if i % 2 else "app login broken") for i in range(20)]
+    table = spark.createDataFrame(rows, "contact_id int, intent string, cleaned_text string")
+    model = topics.TopicModeller(min_topic_size=3, nr_topics=2)
+    with pytest.raises(RuntimeError):
+        model.topic_info()
+    model.fit(table)
+    assert model.assignments().count() == 20
+    assert {r["topic"] for r in model.top_words_per_topic(1).collect()} <= {0, 1}
+    assert model.cross_tab_against_intents().agg(F.sum("n")).first()[0] == 20
+    assert model.topic_info().agg(F.sum("n")).first()[0] == 20
+
+
 def test_merge_topics():
     centres = np.array([[1, 0], [0.9, 0.1], [0, 1], [-1, 0]], dtype=float)
     sizes = np.array([10, 5, 12, 2])
