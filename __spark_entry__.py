@@ -251,10 +251,7 @@ def topic_fit(spark: SparkSession, sf: str) -> DataFrame:
 
 def jsonl_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Cleaned contacts written as JSON lines with a notice, and read back."""
-    folder = shared_folder(spark)
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    path = f"{folder}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     write_contacts(_cleaned(spark, sf), path, notice="illustrative data")
     return read_contacts(spark, path, CLEANED_CONTACT)
 

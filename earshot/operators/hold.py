@@ -2,46 +2,70 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+from functools import lru_cache
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows a broadcast join side may have: narrow rows, so some tens of MiB.
-MAX_BROADCAST_ROWS = 100_000
+# Bytes a broadcast join side may have.
+MAX_BROADCAST_BYTES = 32 << 20
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder named by ``spark.checkpoint.dir``; a local session that
-    names none gets a folder of its own, a cluster gets None."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="earshot-shared-")
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="earshot-shared-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables: ``spark.checkpoint.dir``, else the
+    one given to ``setCheckpointDir``, else, on this machine alone, one that
+    goes when the process ends.  A cluster must name one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = _own_folder()
     return folder
 
 
 def hold(table: DataFrame) -> DataFrame:
     """Compute ``table`` once for several readers and cut its lineage.
 
-    A checkpoint in the shared folder survives the loss of executors.  Where
-    the cluster has none, ``persist``: lost parts are recomputed.
+    A checkpoint in the shared folder survives the loss of executors.  With
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` Spark deletes it once
+    nothing refers to the result any more.
     """
     context = table.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = shared_folder(table.sparkSession)
-        if folder is None:
-            return table.persist(StorageLevel.MEMORY_AND_DISK)
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(table.sparkSession))
     return table.checkpoint()
 
 
+def _row_bytes(table: DataFrame):
+    """About the bytes of a row: numbers at eight, lists and texts by length."""
+    total = F.lit(8 * len(table.columns))
+    for name, kind in table.dtypes:
+        column = F.col(f"`{name}`")
+        if kind.startswith("array"):
+            total = total + 8 * F.greatest(F.size(column), F.lit(0))
+        elif kind in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(column), F.lit(0))
+    return total
+
+
 def small_side(table: DataFrame) -> DataFrame:
     """A join side that is expected to be small and is shown to be.
 
     Spark cannot tell the size of an aggregate beforehand and would shuffle
-    the big side to be safe.  The table is computed and counted; within
-    MAX_BROADCAST_ROWS it is broadcast, beyond it Spark joins as usual.
+    the big side to be safe.  The table is computed and measured; within
+    MAX_BROADCAST_BYTES it is broadcast, beyond it Spark joins as usual.
     """
     held = hold(table)
-    return F.broadcast(held) if held.count() <= MAX_BROADCAST_ROWS else held
+    size = held.agg(F.sum(_row_bytes(held).cast("long"))).first()[0] or 0
+    return F.broadcast(held) if size <= MAX_BROADCAST_BYTES else held
