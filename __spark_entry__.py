@@ -25,6 +25,14 @@ from earshot.session import prepare_session
 from earshot.sources.contacts import CLEANED_CONTACT, read_contacts, write_contacts
 from earshot.sources.demo_contacts import read_demo_contacts
 
+try:  # The subpackage for training data may be removed, corpus_pipeline.py with it.
+    from earshot.llm import oracle as llm_oracle
+    from earshot.llm import queries as llm_queries
+except ImportError as error:
+    if error.name not in ("earshot.llm", "corpus_pipeline"):
+        raise
+    llm_oracle = llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
@@ -279,11 +287,13 @@ def queries() -> dict[str, Query]:
         topic_fit, jsonl_roundtrip,
     ):
         named[query.__name__] = query
+    if llm_queries:
+        named |= llm_queries.queries()
     return {name: _shipped(query) for name, query in named.items()}
 
 
 def oracle_sql() -> dict[str, str]:
     """``topic_fit`` (k-means) and ``jsonl_roundtrip`` (files) have none."""
-    sql = statements()
+    sql = statements() | (llm_oracle.statements() if llm_oracle else {})
     sql["topk_similar_cells"] = sql["topk_similar"]
     return sql
