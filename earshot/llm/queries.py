@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import minhash
+from earshot.llm import minhash, pii, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,5 +20,13 @@ def op1_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf, "documents"), words=4)
 
 
+def op6_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.secret_digests(_table(spark, sf, "documents"))
+
+
+def op10_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.personal_data_digests(_table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_minhash_dedup,)}
+    return {q.__name__: q for q in (op1_minhash_dedup, op6_secret_scan, op10_personal_data)}
