@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from earshot.llm import minhash, pii, secrets
+from earshot.llm import bpe, minhash, pii, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,9 +24,14 @@ def op6_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.secret_digests(_table(spark, sf, "documents"))
 
 
+def op9_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.encode_documents(_table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op10_personal_data(spark: SparkSession, sf: str) -> DataFrame:
     return pii.personal_data_digests(_table(spark, sf, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_minhash_dedup, op6_secret_scan, op10_personal_data)}
+    return {q.__name__: q for q in (op1_minhash_dedup, op6_secret_scan, op9_byte_bpe, op10_personal_data)}
