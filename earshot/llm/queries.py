@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from earshot.llm import bpe, minhash, pii, secrets
+from earshot.llm import bpe, credentials, decontaminate, minhash, pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,7 +21,11 @@ def op1_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return secrets.secret_digests(_table(spark, sf, "documents"))
+    return credentials.secret_digests(_table(spark, sf, "documents"))
+
+
+def op7_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.benchmark_digests(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
 
 def op9_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
@@ -34,4 +38,4 @@ def op10_personal_data(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_minhash_dedup, op6_secret_scan, op9_byte_bpe, op10_personal_data)}
+    return {q.__name__: q for q in (op1_minhash_dedup, op6_secret_scan, op7_decontaminate, op9_byte_bpe, op10_personal_data)}
