@@ -2,6 +2,32 @@
 
 from __future__ import annotations
 
+from earshot.llm.urls import RULES
+
+
+def url_filter() -> str:
+    rules = ", ".join(f"('{r.text}', '{r.host}', '{r.path}', '{r.verdict}')" for r in RULES)
+    lower = lambda text: f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+    WITH rules(rule, rule_host, rule_path, verdict) AS (VALUES {rules}),
+    rest AS (
+        SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+        FROM pages
+    ),
+    parts AS (
+        SELECT page_id, {lower("regexp_extract(rest, '^[^/?#]*')")} AS host,
+               regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+        FROM rest
+    ),
+    fitting AS (
+        SELECT page_id, host, path, rule, verdict,
+               row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC, length(rule_host) DESC) AS place
+        FROM parts LEFT JOIN rules
+          ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    )
+    SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fitting WHERE place = 1
+    """
+
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op2_url_filter": url_filter()}

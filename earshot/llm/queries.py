@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from earshot.llm import bpe, credentials, decontaminate, licenses, minhash, pii
+from earshot.llm import bpe, credentials, decontaminate, licenses, minhash, pii, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,10 @@ def op1_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf, "documents"), words=4)
 
 
+def op2_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return urls.judge_urls(_table(spark, sf, "pages"))
+
+
 def op3_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf, "documents")).drop("licenses")
 
@@ -42,4 +46,4 @@ def op10_personal_data(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_minhash_dedup, op3_license_scan, op6_secret_scan, op7_decontaminate, op9_byte_bpe, op10_personal_data)}
+    return {q.__name__: q for q in (op1_minhash_dedup, op2_url_filter, op3_license_scan, op6_secret_scan, op7_decontaminate, op9_byte_bpe, op10_personal_data)}

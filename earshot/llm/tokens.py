@@ -100,10 +100,10 @@ def hash_words(listed: list[str], member: np.ndarray = ALPHANUMERIC) -> np.ndarr
 
 
 def text_words(texts: list[str | None], member: np.ndarray) -> Words:
-    return words(*_bytes_of(pa.array(texts, pa.string())), member)
+    return words(*bytes_of(pa.array(texts, pa.string())), member)
 
 
-def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and bounds of a string column; nulls are empty."""
     column = column.cast(pa.large_string()).fill_null("")
     _, offsets, data = column.buffers()
@@ -117,7 +117,7 @@ def slices(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndarray
     """(first row, bytes, bounds) of runs of about SLICE_BYTES of text."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    data, bounds = _bytes_of(column)
+    data, bounds = bytes_of(column)
     at = 0
     while at < len(column):
         end = int(np.searchsorted(bounds, bounds[at] + SLICE_BYTES, side="right")) - 1
