@@ -29,5 +29,27 @@ def url_filter() -> str:
     """
 
 
+def topk_search() -> str:
+    return """
+    WITH usable AS (
+        SELECT vec_id, embedding FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND NOT list_bool_or(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)))
+    ),
+    vectors AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM usable
+    ),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+        FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
+        WHERE q.vec_id % 50 = 0
+    ),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+    )
+    SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 5
+    """
+
+
 def statements() -> dict[str, str]:
-    return {"op2_url_filter": url_filter()}
+    return {"op2_url_filter": url_filter(), "op4_topk_search": topk_search()}

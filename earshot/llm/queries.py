@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from earshot.llm import bpe, credentials, decontaminate, licenses, minhash, pii, quality, urls
+from earshot.llm import bpe, credentials, decontaminate, licenses, minhash, pii, quality, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +29,10 @@ def op3_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf, "documents")).drop("licenses")
 
 
+def op4_topk_search(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score_quality(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
@@ -50,4 +55,4 @@ def op10_personal_data(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_minhash_dedup, op2_url_filter, op3_license_scan, op5_quality, op6_secret_scan, op7_decontaminate, op9_byte_bpe, op10_personal_data)}
+    return {q.__name__: q for q in (op1_minhash_dedup, op2_url_filter, op3_license_scan, op4_topk_search, op5_quality, op6_secret_scan, op7_decontaminate, op9_byte_bpe, op10_personal_data)}
