@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from earshot.llm.chat import BEGIN, END, MIDDLE
 from earshot.llm.urls import RULES
 
 
@@ -51,5 +52,26 @@ def topk_search() -> str:
     """
 
 
+def chat_format() -> str:
+    escaped = lambda c: rf"regexp_replace({c}, '([<\[])(\\*)(/?s>|/?INST\])', '\1\\\2\3', 'g')"
+    return f"""
+    WITH given AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL
+        SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'
+    ),
+    whole AS (
+        SELECT conv_id, count(*) AS n_turns,
+               string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+               string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text) AS loss,
+               sum({len(BEGIN + MIDDLE + END)} + length({escaped("role")}) + length({escaped("text")}))::BIGINT AS formatted_chars
+        FROM given GROUP BY conv_id
+    )
+    SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars,
+           sha256(loss) AS loss_sha256, formatted_chars
+    FROM whole
+    """
+
+
 def statements() -> dict[str, str]:
-    return {"op2_url_filter": url_filter(), "op4_topk_search": topk_search()}
+    return {"op2_url_filter": url_filter(), "op4_topk_search": topk_search(), "op8_chat_format": chat_format()}

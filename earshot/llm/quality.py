@@ -28,6 +28,7 @@ from earshot.llm.tables import keep
 FOLDS, HELD_OUT = 3, 1
 RIDGE = 1e-4
 STEPS, RATE = 60, 0.5
+GOOD = 0.5
 # A measure enters as it is and as min(x / knee, 1) for each knee.
 KNEES = (0.03, 0.15)
 
@@ -144,37 +145,63 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
-def score_quality(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row of ``documents``.
+def fit_weights(measured: DataFrame, labels: DataFrame) -> np.ndarray | None:
+    """Weights of the measures; None without any trusted positive.
 
     ``labels`` (doc_id, quality): only rows outside the held-out fold are read;
-    an id labelled both 0 and 1, or null, is no trusted positive.  Without any
-    trusted positive every score is 1.  Empty and null texts are scored by the
-    constant terms.  Repeated rows are scored alike; null ids are scored, and
-    are not held out; other columns are ignored.
+    an id labelled both 0 and 1, or null, is no trusted positive.
     """
-    measured = keep(measure(documents, id_col, text_col), "measures")
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     judged = known.groupBy("doc_id").agg(F.min("quality").alias("low"), F.max("quality").alias("high"))
     judged = judged.where(F.col("low") == F.col("high"))
-    trusted = judged.where(F.col("low") == 1).select("doc_id")
     n_trusted, n_judged = judged.agg(F.count_if(F.col("low") == 1), F.count("*")).first()
-    if n_trusted:
-        positive = _moments(measured.join(trusted, "doc_id", "left_semi"))
-        weights = _fit(n_trusted / n_judged, positive, _moments(measured)) if positive[0] else None
-    else:
-        weights = None
+    if not n_trusted:
+        return None
+    positive = _moments(measured.join(judged.where(F.col("low") == 1), "doc_id", "left_semi"))
+    return _fit(n_trusted / n_judged, positive, _moments(measured)) if positive[0] else None
+
+
+def _scores(rows: np.ndarray, weights: np.ndarray | None) -> np.ndarray:
+    if weights is None:
+        return np.ones(len(rows))
+    return ((rows.astype(np.float64) @ weights + 1) / 2).clip(0, 1)
+
+
+def score_quality(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every row of ``documents``.
+
+    Without any trusted positive every score is 1.  Empty and null texts are
+    scored by the constant terms.  Repeated rows are scored alike; null ids are
+    scored, and are not held out; other columns are ignored.
+    """
+    measured = keep(measure(documents, id_col, text_col), "measures")
+    weights = fit_weights(measured, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if weights is None:
-                score = np.ones(batch.num_rows)
-            else:
-                score = ((_matrix(batch.column(1)) @ weights + 1) / 2).clip(0, 1) if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["doc_id", "score"])
+            if batch.num_rows:
+                score = _scores(_matrix(batch.column(1)), weights)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["doc_id", "score"])
 
     id_type = measured.schema["doc_id"].dataType.simpleString()
     return measured.mapInArrow(run, f"doc_id {id_type}, score double").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
-        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        (F.col("score") >= GOOD).cast("int").alias("predicted"),
     )
+
+
+def drop_poor(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, all columns kept, whose score is at least ``GOOD``.
+
+    Each row is judged where it is, by its text; no row is moved.
+    """
+    weights = fit_weights(keep(measure(documents, id_col, text_col), "measures"), labels)
+    place = documents.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, data, bounds in tokens.slices(batch.column(place)):
+                good = _scores(_measured(data, bounds), weights) >= GOOD
+                yield batch.slice(at, len(good)).filter(pa.array(good))
+
+    return documents.mapInArrow(run, documents.schema)

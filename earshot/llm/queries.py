@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import bpe, credentials, decontaminate, licenses, minhash, pii, quality, topk, urls
+from earshot.llm import bpe, chat, credentials, decontaminate, licenses, minhash, pii, quality, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +46,11 @@ def op7_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.benchmark_digests(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
 
+def op8_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    turns = chat.with_control_strings(_table(spark, sf, "conversations"))
+    return chat.conversation_digests(chat.format_trees(chat.chain(turns)))
+
+
 def op9_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.encode_documents(_table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
@@ -54,5 +60,15 @@ def op10_personal_data(spark: SparkSession, sf: str) -> DataFrame:
     return pii.personal_data_digests(_table(spark, sf, "documents"))
 
 
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf).drop("ids")
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_minhash_dedup, op2_url_filter, op3_license_scan, op4_topk_search, op5_quality, op6_secret_scan, op7_decontaminate, op9_byte_bpe, op10_personal_data)}
+    return {
+        query.__name__: query
+        for query in (
+            op1_minhash_dedup, op2_url_filter, op3_license_scan, op4_topk_search, op5_quality, op6_secret_scan,
+            op7_decontaminate, op8_chat_format, op9_byte_bpe, op10_personal_data, pipeline,
+        )
+    }
