@@ -1,0 +1,205 @@
+"""Secrets, personal data and licences against Python's own patterns."""
+
+import hashlib
+import random
+import re
+import time
+
+import pytest
+from odd import ODD, empty_table, odd_table
+from pyspark.sql import functions as F
+
+from earshot.llm import credentials, licenses, pii
+from earshot.llm.templates import PHRASES, TEMPLATES
+
+digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
+both = lambda word: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+ASSIGN = re.compile(
+    "(" + "|".join(both(w) for w in ("password", "passwd", "secret", "token")) + "|" + both("api") + "_?" + both("key")
+    + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+)
+
+
+def base_secrets(text):
+    found = [(m.start(), 0, "assign", m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
+    found += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    found += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    return [f"{kind}:{start}:{end}" for start, _, kind, end in sorted(found)]
+
+
+def passes_luhn(digits):
+    doubled = [int(d) * (1 + k % 2) for k, d in enumerate(reversed(digits))]
+    return sum(d - 9 * (d > 9) for d in doubled) % 10 == 0
+
+
+def base_personal(text):
+    digits = lambda m: re.sub("[^0-9]", "", m[0])
+    kinds = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m[0].split("."))),
+        "card": (r"[0-9]([\x20-]?[0-9])+", lambda m: 16 <= len(digits(m)) <= 19 and passes_luhn(digits(m))),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 8 <= len(digits(m)) <= 15),
+    }
+    return [
+        f"{kind}:{m.start()}:{m.end()}" for kind, (p, holds) in kinds.items() for m in re.finditer(p, text) if holds(m)
+    ]
+
+
+def base_licenses(text):
+    low = text.encode().translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123))))
+    words = [w.decode() for w in re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)]
+    places = [(k, label) for p, label in PHRASES.items() for k in range(len(words)) if words[k : k + len(p.split())] == p.split()]
+    starts = [k for k, _ in places]
+    return len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({b for _, b in places}))
+
+
+def random_texts(pieces, n, seed):
+    choose = random.Random(seed)
+    return ["".join(choose.choice(pieces) for _ in range(choose.randrange(25))) for _ in range(n)]
+
+
+SECRET_PIECES = [
+    "password", "PassWd", "secret", "toKen", "api_key", "APIKEY", "ſecret", "toKen", '"', "'", " ", "  ", ":", "=", "==",
+    "abc123", "A.b/c+d_e-f", "AKIA", "AKIA12345678901234", "Z9", "0123456789abcdef", "deadbeef", "é", "\U0001f600", "\n",
+]
+PERSONAL_PIECES = [
+    "bob", "@", ".", "mail.com", "x.y", "_", "%", "é", " ", "-", "  ", "1", "25", "255", "256", "0", "00", "4111111111111111",
+    "4111 1111 1111 1111", "+", "+1 ", "(555)", "555-2485", "\n", "\U0001f600", "٣",
+]
+LICENSE_PIECES = [
+    "under the mit license ", "Apache-License ", "version 2 ", "license ", "under ", "the ", "MIT ", "cc-by-nc ", "cc ", "by ", "nc ", "É ", "2",
+]
+
+
+def table(spark, texts):
+    rows = [(100 + k, t, "clash", 7) for k, t in enumerate(texts)]
+    return odd_table(spark).unionByName(spark.createDataFrame(rows, "doc_id long, text string, spans string, score int")).repartition(6)
+
+
+def by_id(result, n_given):
+    rows = result.collect()
+    assert len(rows) == n_given
+    return {r.doc_id: r for r in rows}
+
+
+def test_secrets(spark):
+    given = table(spark, random_texts(SECRET_PIECES, 1500, 1))
+    got = by_id(credentials.secret_digests(given), given.count())
+    for row in given.collect():
+        want = base_secrets(row.text or "")
+        if row.doc_id is None:
+            continue
+        found = got[row.doc_id]
+        kinds = [sum(s.startswith(k) for s in want) for k in ("assign", "access", "hex")]
+        assert [found.n_assign, found.n_access, found.n_hex] == kinds, row.text
+        assert found.base_sha256 == digest(",".join(want)), row.text
+        assert set(want) <= set(found.spans.split(",")) if want else True
+
+
+def test_weak_credentials_need_a_complement(spark):
+    near, far = "x" * 50 + " ", "x" * 500 + " "
+    cases = {
+        "api_key=short12 and https://h.example.org/a": ["linked:0:15"],
+        "api_key=short12 " + near + "client_id=abc12": ["linked:0:15"],
+        "client_id=abc12 " + near + "api_key=short12": ["linked:67:82"],
+        "api_key=short12 " + far + "https://h.example.org/a": [],
+        "api_key=short12 alone": [],
+        "https://h.example.org/a alone": [],
+        "AKIA12345678901234 " + "Ab1/" * 10: ["access:0:18", "linked:19:59"],
+    }
+    given = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in credentials.secret_digests(given).collect()}
+    assert [got[k] for k in range(len(cases))] == [",".join(v) for v in cases.values()]
+    many = spark.createDataFrame([(1, "https://a.bc token=abc123 " * 2000)], "doc_id long, text string")
+    assert credentials.secret_digests(many).first().spans.count("linked") == 2000
+
+
+def test_redaction(spark):
+    texts = ["a password=0123456789abcdef0 b", "api_key=short12 at http://x.y z", None, "", "clean é text", "é token=abcdefghijkl"]
+    given = spark.createDataFrame([(k, t, k) for k, t in enumerate(texts)], "doc_id long, text string, _key1 long")
+    given = given.withColumnRenamed("_key1", "other")
+    redacted = credentials.redact_secrets(given)
+    assert redacted.columns == given.columns
+    assert [r.text for r in redacted.orderBy("doc_id").collect()] == [
+        "a [SECRET] b", "[SECRET] at http://x.y z", None, "", "clean é text", "é [SECRET]",
+    ]
+
+
+def test_personal_data(spark):
+    given = table(spark, random_texts(PERSONAL_PIECES, 1500, 2))
+    got = by_id(pii.personal_data_digests(given), given.count())
+    for row in given.where("doc_id IS NOT NULL").collect():
+        want, found = base_personal(row.text or ""), got[row.doc_id]
+        kinds = [sum(s.startswith(k) for s in want) for k in ("email", "ip", "card", "phone")]
+        assert [found.n_email, found.n_ip, found.n_card, found.n_phone] == kinds, row.text
+        assert found.base_sha256 == digest(",".join(want)), row.text
+        assert not want or set(want) <= set(found.spans.split(","))
+
+
+def test_contexts_discover_identifiers(spark):
+    mails = [(k, f"Hello, mailbox bob{k}@example.com is open") for k in range(8)]
+    hidden = [(100, "the mailbox is full"), (101, "his mailbox b4n77-901 is full"), (102, "other word 7731-22 here")]
+    given = spark.createDataFrame([*mails, *hidden], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.personal_data_digests(given).collect()}
+    assert got[101] == "context:12:21"
+    assert got[100] == got[102] == ""
+
+
+def test_long_runs_are_linear(spark):
+    texts = ["a" * 200_000, "a." * 100_000, "1" * 200_000, "1." * 100_000, "+1" + "(" * 200_000, "a@" + "b." * 100_000, "token" * 40_000]
+    given = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    begun = time.time()
+    assert [r.base_sha256 for r in credentials.secret_digests(given).orderBy("doc_id").collect()] == [
+        digest(",".join(base_secrets(t))) for t in texts
+    ]
+    assert pii.personal_data_digests(given).count() == len(texts)
+    assert time.time() - begun < 120
+
+
+def test_licenses(spark):
+    given = table(spark, random_texts(LICENSE_PIECES, 1500, 3))
+    got = by_id(licenses.scan_licenses(given), given.count())
+    for row in given.where("doc_id IS NOT NULL").collect():
+        found = got[row.doc_id]
+        assert (found.n_words, found.n_base, found.first_word, found.last_word, found.base_labels) == base_licenses(row.text or "")
+        assert set(filter(None, found.base_labels.split(","))) <= set(found.labels.split(","))
+        assert 0 <= found.score <= 1
+
+
+def test_license_spans(spark):
+    choose = random.Random(5)
+    edited = lambda t: " ".join(w for w in t.split() if choose.random() > 0.05)
+    rows = [(k, "own words before " + edited(t) + " and after") for k, t in enumerate(TEMPLATES.values())]
+    rows += [(100, " ".join(TEMPLATES["mit"].split()[:12])), (101, "the copyright notice and the software")]
+    got = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, label in enumerate(TEMPLATES):
+        assert label in got[k].labels.split(","), label
+        assert any(s.label == label and s.start >= 2 and s.cover >= 0.5 for s in got[k].licenses)
+    assert got[100].labels == got[101].labels == "" and got[100].score == 0
+
+
+def test_matching_statistics():
+    choose = random.Random(6)
+    sequences = [[choose.randrange(3) for _ in range(choose.randrange(1, 9))] for _ in range(5)]
+    automaton = licenses.SuffixAutomaton(sequences)
+    runs = {tuple(s[a:b]) for s in sequences for a in range(len(s)) for b in range(a + 1, len(s) + 1)}
+    text = [choose.randrange(4) for _ in range(300)]
+    for at, (state, length) in enumerate(automaton.statistics(text)):
+        longest = next((n for n in range(at + 1, 0, -1) if tuple(text[at + 1 - n : at + 1]) in runs), 0)
+        assert length == longest
+        run = text[at + 1 - length : at + 1]
+        ends = [(k, e) for k, s in enumerate(sequences) for e in range(len(s)) if length and s[e + 1 - length : e + 1] == run and e + 1 >= length]
+        assert not length or automaton.states[state].ends == ends
+
+
+@pytest.mark.parametrize("scan", [credentials.secret_digests, pii.personal_data_digests, licenses.scan_licenses])
+def test_empty_table(spark, scan):
+    assert scan(empty_table(spark)).collect() == []
+
+
+def test_null_and_empty_texts_have_nothing(spark):
+    given = odd_table(spark)
+    for scan in (credentials.secret_digests, pii.personal_data_digests):
+        rows = scan(given).where(F.coalesce("doc_id", F.lit(0)).isin(1, 2, 3)).collect()
+        assert len(rows) == 3 and {(r.spans, r.base_sha256) for r in rows} == {("", digest(""))}
+    assert licenses.scan_licenses(given).count() == len(ODD)
