@@ -152,7 +152,7 @@ def topk_similar(spark: SparkSession, sf: str) -> DataFrame:
 
 def topk_similar_cells(spark: SparkSession, sf: str) -> DataFrame:
     vectors = _given_vectors(spark, sf)
-    found = similar.top_k_similar(vectors, vectors, 5, id_col="vec_id", method="cells")
+    found = similar.top_k_similar(vectors, vectors, 5, id_col="vec_id", method="tiles")
     return _rounded(found, "similarity")
 
 
