@@ -12,19 +12,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot import constants as C
-from earshot.sources.contacts import spread_small
 
 # (true intent, phrase).  Some match no rule, some only a weight-1 rule, some
 # rules of several intents, some tie.
 PHRASES = (
-    ("PRESCRIPTION_DELAY", "where is my order, it has still not arrived"),
+    ("PRESCRIPTION_DELAY", "it has not arrived, where is my order then"),
     ("PRESCRIPTION_DELAY", "I'm running out and my tablets are days late"),
     ("PRESCRIPTION_DELAY", "the pack was supposed to come on Monday"),
     ("PRESCRIPTION_DELAY", "any news on dispatch"),
     ("PRESCRIPTION_DELAY", "nothing came and i am worried"),
-    ("REPEAT_PRESCRIPTION_QUERY", "can i add a new item to my repeat list"),
+    ("REPEAT_PRESCRIPTION_QUERY", "i want to add a new item to my repeat list please"),
     ("REPEAT_PRESCRIPTION_QUERY", "my inhaler isn't on the list"),
-    ("REPEAT_PRESCRIPTION_QUERY", "how do i reorder after switching from my old chemist"),
+    ("REPEAT_PRESCRIPTION_QUERY", "how do i reorder now that i left my old chemist"),
     ("REPEAT_PRESCRIPTION_QUERY", "the cream is missing from my order"),
     ("REPEAT_PRESCRIPTION_QUERY", "i want two months at once please"),
     ("DELIVERY_ISSUE", "it was delivered to the wrong address"),
@@ -38,7 +37,7 @@ PHRASES = (
     ("APP_WEBSITE_ISSUE", "the website is useless"),
     ("APP_WEBSITE_ISSUE", "nhs login and two-factor both failed"),
     ("CLINICAL_QUERY", "is it safe to take with ibuprofen"),
-    ("CLINICAL_QUERY", "i missed a dose and feel a side effect"),
+    ("CLINICAL_QUERY", "since i missed a dose there is a side effect"),
     ("CLINICAL_QUERY", "the pills are a different colour, same medication"),
     ("CLINICAL_QUERY", "can the pharmacist call me"),
     ("CLINICAL_QUERY", "does it make you sleepy"),
@@ -121,4 +120,4 @@ def contacts_from_documents(documents: DataFrame) -> DataFrame:
 
 def read_demo_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return contacts_from_documents(spread_small(documents))
+    return contacts_from_documents(documents)

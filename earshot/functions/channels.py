@@ -1,8 +1,8 @@
 """Channel cleaners: text column in, cleaned column out, no shuffle.
 
 All of them are projections of built-in expressions, and every pass over the
-text is linear: no pattern repeats a group, which the regex engine would
-answer with one stack frame per repetition.
+text is linear: groups are repeated possessively only, which needs no stack
+frame per repetition.
 """
 
 from __future__ import annotations
@@ -17,11 +17,6 @@ from earshot import constants as C
 from earshot.functions import text as T
 
 
-# Stands for "a repeated word was here"; a Unicode noncharacter, so it does
-# not occur in text.
-_RUN = "\ufdd0"
-
-
 def _text(text: Column | str) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
@@ -34,19 +29,23 @@ def clean_phone(text: Column | str) -> Column:
     out = F.lower(_text(text))
     for fillers in (C.PHONE_FILLERS, C.PHONE_FILLER_PHRASES):
         out = F.regexp_replace(out, T.whole_words(fillers), " ")
-    # A run of the repeated word goes, a single one stays: first mark every
-    # one that is followed by another, then drop the marks with the last one.
+    # A run of the repeated word goes, a single one stays.  Each further word
+    # must be whole by itself, so the possessive loop never has to go back.
     word = C.PHONE_REPEATED_WORD
-    followed = f"{T.word_start(word[0])}{word}[{T.SPACE}]++(?={word}{T.AFTER_WORD})"
-    out = F.regexp_replace(out, followed, _RUN)
-    out = F.regexp_replace(out, f"{_RUN}++{word}", " ")
+    run = f"{T.word_start(word[0])}{word}(?:[{T.SPACE}]++{word}{T.AFTER_WORD})++"
+    out = F.regexp_replace(out, run, " ")
     out = reduce(lambda o, p: _delete(o, p, "iu"), C.PHONE_OPENERS, out)
     return T.collapse_spaces(out)
 
 
 def clean_email(text: Column | str) -> Column:
     out = _text(text)
-    out = reduce(lambda o, p: _delete(o, p, "iumd"), C.EMAIL_SALUTATIONS, out)
+    for pattern in C.EMAIL_SALUTATIONS:
+        # White space that no salutation follows is consumed once and put
+        # back; else the search would begin anew at each of its lines.
+        body = T.java_pattern(pattern.removeprefix(r"^\s*"), "")
+        line = f"(?iumd)^(?:[{T.SPACE}]*+{body}|(?<gap>[{T.SPACE}]++))"
+        out = F.regexp_replace(out, line, "${gap}")
     for pattern in C.EMAIL_SIGNOFFS:
         starts = "".join(re.findall(r"(?:^\\b\(?|\|)(\w)", pattern))
         body = pattern.removeprefix(r"\b")
@@ -107,6 +106,6 @@ def clean_by_channel(
     message = F.concat(
         F.lit("Unsupported channel '"),
         F.coalesce(channel, F.lit("null")),
-        F.lit(f"'. Expected one of: {', '.join(sorted(CLEANERS))}"),
+        F.lit(f"'; known are {', '.join(sorted(CLEANERS))}"),
     )
     return cases.otherwise(F.raise_error(message).cast("string"))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from earshot import constants as C
 from earshot.functions import text as X
 from earshot.operators.embed import batched
+from earshot.operators.models import kept
 
 # Fixed value: texts handed to a plugged-in scorer at a time.
 SCORER_BATCH = 16
@@ -67,17 +68,18 @@ def score_with(
     load_scorer: Callable[[], Scorer],
     text_col: str = "cleaned_text",
     batch_size: int = SCORER_BATCH,
+    name: str | None = None,
 ) -> DataFrame:
     """The same columns from a plugged-in model: texts -> (n, 3) logits.
 
-    ``load_scorer`` runs once per task, on the executor, when the first batch
-    arrives."""
+    ``load_scorer`` runs on the executor when the first batch arrives: once for
+    each worker process where the model has a ``name``, else for each task."""
 
     @F.arrow_udf("array<double>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = None
         for batch in batches:
-            scorer = scorer or load_scorer()
+            scorer = scorer or kept(name, load_scorer)
             logits = batched(batch.to_pylist(), batch_size, scorer, 3)
             yield pa.array(list(logits), type=pa.list_(pa.float64()))
 

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot import constants as C
@@ -24,14 +24,17 @@ from earshot.operators.hold import hold, small_side
 from earshot.operators.similar import RANK_DECIMALS
 
 MAX_TOPICS = 64
+OTHER_INTENT = "OTHER"
+# Rows less like their centre (cosine) than this belong to no topic.
+MIN_SIMILARITY = 0.1
 
 
 def merge_topics(
     centres: np.ndarray, sizes: np.ndarray, min_topic_size: int, nr_topics: int | None
 ) -> list[int]:
     """Topic of each cluster: small clusters are outliers, the most similar
-    pair merges until ``nr_topics`` are left, ids go by size.  Works on at
-    most MAX_TOPICS centres, never on rows."""
+    pair merges until ``nr_topics`` are left, ids go by size.  Works on the
+    centres, never on rows."""
     groups = {i: [i] for i in range(len(sizes)) if sizes[i] >= min_topic_size}
     weight = {i: float(sizes[i]) for i in groups}
     centre = {i: centres[i].astype(float) for i in groups}
@@ -58,17 +61,25 @@ def fit_topics(
     vector_col: str = "embedding",
     max_topics: int = MAX_TOPICS,
     seed: int = 42,
+    min_similarity: float = MIN_SIMILARITY,
 ) -> DataFrame:
     """Add ``topic``: 0 is the largest, -1 an outlier.
 
+    At most ``max_topics`` clusters are fitted, and no more than could have
+    ``min_topic_size`` rows each.  A row is an outlier when its cosine with its
+    cluster's centre is below ``min_similarity``, whatever the size of the
+    table, or when fewer than ``min_topic_size`` rows are left in its cluster.
+
     The rows are read several times, so they are held; pass only the columns
     needed afterwards.
     """
+    if max_topics < 1:
+        raise ValueError("max_topics must be at least 1")
     contacts = hold(contacts)
     rows = contacts.count()
     if rows == 0:
         raise ValueError("fit_topics() needs at least one contact")
-    wanted = min(max_topics, MAX_TOPICS, max(1, rows // max(1, min_topic_size)))
+    wanted = min(max_topics, max(1, rows // max(1, min_topic_size)))
     vectors = contacts.withColumn("_features", array_to_vector(vector_col))
     # The row solver copes with fewer distinct vectors than clusters.
     model = KMeans(
@@ -76,11 +87,28 @@ def fit_topics(
     )
     fitted = model.fit(vectors.select("_features"))
     centres = np.stack(fitted.clusterCenters())
-    sizes = np.asarray(fitted.summary.clusterSizes)[: len(centres)]
+    table = [(i, [float(x) for x in c], float(np.linalg.norm(c))) for i, c in enumerate(centres)]
+    known = contacts.sparkSession.createDataFrame(table, "_cluster int, _centre array<double>, _length double")
+    near = _cosine(vector_col) >= min_similarity
+    assigned = fitted.transform(vectors).join(small_side(known), "_cluster").withColumn("_near", near)
+    assigned = assigned.drop("_features", "_centre", "_length")
+    counted = assigned.where("_near").groupBy("_cluster").count().collect()  # a row for each cluster
+    sizes = np.zeros(len(centres), dtype=np.int64)
+    for row in counted:
+        sizes[row["_cluster"]] = row["count"]
     topic = merge_topics(centres, sizes, min_topic_size, nr_topics)
-    assigned = fitted.transform(vectors)
     of_cluster = F.element_at(F.lit(topic), F.col("_cluster") + 1)
-    return assigned.withColumn("topic", of_cluster).drop("_features", "_cluster")
+    named = F.when(F.col("_near"), of_cluster).otherwise(C.OUTLIER_TOPIC)
+    return assigned.withColumn("topic", named).select(*contacts.columns, "topic")
+
+
+def _cosine(vector_col: str) -> Column:
+    """With ``_centre``, whose length is ``_length``; 0 where either is zero."""
+    dot = lambda a, b: F.aggregate(
+        F.zip_with(a, b, lambda x, c: x.cast("double") * c), F.lit(0.0), lambda t, x: t + x
+    )
+    own = F.sqrt(dot(vector_col, vector_col))
+    return F.coalesce(F.try_divide(dot(vector_col, "_centre"), own * F.col("_length")), F.lit(0.0))
 
 
 def term_counts(contacts: DataFrame, text_col: str = "cleaned_text") -> DataFrame:
@@ -207,13 +235,20 @@ def crosstab_dense(
     contacts: DataFrame, intents: list[str] | None = None, intent_col: str = "intent"
 ) -> DataFrame:
     """One row per topic, one column per intent (alphabetical), zeros filled;
-    outliers last.  With ``intents`` given there is no pass to find them.
-    ``intents`` must then name every intent that occurs."""
+    outliers last.
+
+    With ``intents`` given there is no pass to find them; missing intents are
+    then counted as UNKNOWN and all that are not listed as OTHER, so every row
+    counts somewhere.
+    """
     outlier = F.col("topic") == C.OUTLIER_TOPIC
-    columns = sorted(intents) if intents is not None else None
+    counts, columns = crosstab(contacts, intent_col), None
+    if intents is not None:
+        columns = [*sorted({*intents} - {C.UNKNOWN_INTENT, OTHER_INTENT}), C.UNKNOWN_INTENT, OTHER_INTENT]
+        listed = F.when(F.col("intent").isin(columns), F.col("intent")).otherwise(OTHER_INTENT)
+        counts = counts.withColumn("intent", listed)
     return (
-        crosstab(contacts, intent_col)
-        .groupBy("topic")
+        counts.groupBy("topic")
         .pivot("intent", columns)
         .agg(F.sum("n"))
         .na.fill(0)

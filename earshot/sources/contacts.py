@@ -70,23 +70,6 @@ def write_contacts(
         header.write.mode("append").json(path)
 
 
-# Below this size a table is spread over the cores before text work.
-SPREAD_BELOW_BYTES = 1024**3
-
-
-def spread_small(table: DataFrame) -> DataFrame:
-    """Spread a small input over the cores.
-
-    A small file may be a single row group, hence a single task, however many
-    cores wait.  A large input has plenty of splits and is left as it is: for
-    it this would be a shuffle of every text for nothing.
-    """
-    plan = table._jdf.queryExecution().optimizedPlan()
-    if int(plan.stats().sizeInBytes()) >= SPREAD_BELOW_BYTES:
-        return table
-    return table.repartition(table.sparkSession.sparkContext.defaultParallelism)
-
-
 def write_parquet(contacts: DataFrame, path: str) -> None:
     """Columnar hand-off between stages: later stages read only the columns
     they use."""

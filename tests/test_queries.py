@@ -10,8 +10,7 @@ import __spark_entry__ as entry
 from checks.compare import compare, database
 from earshot import constants as C
 from earshot.operators import classify, clean
-from earshot.sources.contacts import spread_small
-from earshot.sources.demo_contacts import contacts_from_documents, read_demo_contacts
+from checks.demo_contacts import contacts_from_documents
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test data here")
@@ -22,13 +21,17 @@ def sql():
     return database(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+# The queries of the library itself; the training-data ones have tests of their own.
+OWN = [n for n in entry.queries() if not (entry.llm_queries and n in entry.llm_queries.queries())]
+
+
+@pytest.mark.parametrize("name", OWN)
 def test_query_equals_sql(spark, sql, name):
     assert compare(spark, sql, name, SF) == ""
 
 
-def test_only_fitting_and_files_lack_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"topic_fit", "jsonl_roundtrip"}
+def test_every_query_has_sql():
+    assert set(OWN) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
@@ -78,7 +81,23 @@ def test_reports_shuffle_partial_counts_only(spark, contacts):
     assert plan.count("Exchange") == 1 and "partial_count" in plan
 
 
-def test_spread(spark, contacts, monkeypatch):
-    assert "RoundRobin" in plan_of(read_demo_contacts(spark, SF))
-    monkeypatch.setattr("earshot.sources.contacts.SPREAD_BELOW_BYTES", 1)
-    assert "RoundRobin" not in plan_of(spread_small(contacts))
+def test_rows_are_dealt_out_only_where_splits_are_few(spark, tmp_path):
+    assert "RoundRobin" in plan_of(entry.read_demo_contacts(spark, SF))
+    documents = spark.read.parquet(f"{SF}/documents.parquet").repartition(16)
+    documents.write.option("maxRecordsPerFile", 5).parquet(f"{tmp_path}/documents.parquet")
+    spark.conf.set("spark.sql.files.openCostInBytes", "64m")
+    try:
+        plan = plan_of(entry.queries()["classify_confidence"](spark, str(tmp_path)))
+        assert "Exchange" not in plan and "Python" not in plan
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_topic_queries_count_every_contact(spark):
+    n = spark.read.parquet(f"{SF}/documents.parquet").count()
+    for name, column in (("topic_info", "n"), ("topic_crosstab", "n")):
+        assert entry.queries()[name](spark, SF).agg(F.sum(column)).first()[0] == n
+    assert entry.queries()["topic_assignments"](spark, SF).count() == n
+    dense = entry.queries()["topic_crosstab_dense"](spark, SF)
+    assert sum(sum(r[1:]) for r in dense.collect()) == n
+    assert dense.agg(F.sum("unknown")).first()[0] > 0
