@@ -2,19 +2,22 @@
 
 1. One pass over the texts: the set of word shingles (64-bit hashes), a digest
    of the set, ``MINIMA`` minima of universal hash functions, and the keys of
-   ``BANDS`` bands of them.
-2. Equal sets collapse to their smallest id.
-3. In each band bucket every set is paired with the bucket's smallest id only.
-   Pairs whose signatures agree often enough are confirmed on the full sets.
-4. Connected components (alternating large-star and small-star).
-5. Buckets that still hold several components are searched for links between
-   them: the best partners by signature first, eight times as many in each
-   further round, until no set has an unseen partner in another component.
-
-So all links between sets that share a bucket are found, but pairs inside a
-component, which is nearly all of them in a group of copies, are never formed.
-Two sets of similarity 0.8 share no bucket with probability 5e-8, and fall
-below ``LEAST_EQUAL`` equal minima with probability 3e-7.
+   ``BANDS`` bands of them.  Equal sets collapse to their smallest id.
+2. Loose groups, by signatures alone: in each band bucket every set is compared
+   with the bucket's smallest id, groups are the connected components of pairs
+   that agree at ``LEAST_EQUAL`` minima, and buckets that hold several groups
+   are searched for one agreeing pair between any two of them.  After that,
+   every agreeing pair that shares a bucket lies within one group.
+3. Links, on full sets: each set of a loose group is compared with the group's
+   smallest id.  Where that leaves a group in several components, the sets
+   outside its largest component are compared with all others, block by block;
+   a task compares two blocks and returns at most a forest of links.
+4. Components of the links, by alternating large-star and small-star.
+
+No pairs are formed inside a component, which is nearly all of them in a group
+of copies, and pairs that fail leave no rows.  Two sets of similarity 0.8 share
+no bucket with probability 5e-8, and agree at fewer than ``LEAST_EQUAL`` minima
+with probability 3e-7.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot.llm import tokens
@@ -35,9 +38,8 @@ BANDS, ROWS = 32, 4
 MINIMA = BANDS * ROWS
 # Minima kept as one byte each must agree at so many places before sets are read.
 LEAST_EQUAL = 80
-# Sets of a bucket that one task compares; larger buckets are cut into blocks.
+# Sets that one task compares with as many others.
 BLOCK = 1024
-PARTNERS_STEP = 8
 
 _RANDOM = np.random.default_rng(7919)
 _FACTORS = _RANDOM.integers(0, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -154,73 +156,104 @@ def _similar(percent: int):
     return run
 
 
-class _Search:
-    """The sets of one table, and confirmation of candidate pairs on them."""
-
-    def __init__(self, documents: DataFrame, sets: DataFrame, width: int, percent: int, repeated: bool):
-        self.documents, self.sets, self.width, self.percent = documents, sets, width, percent
-        self.repeated = repeated
-
-    def with_minima(self, pairs: DataFrame) -> DataFrame:
-        signs = self.sets.select("doc_id", "minima")
-        for side in ("u", "v"):
-            sign = signs.withColumnsRenamed({"doc_id": side, "minima": f"minima_{side}"})
-            pairs = pairs.join(sign, side)
-        return pairs.select("u", "v", "minima_u", "minima_v")
-
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (u, v) that are links, read from full sets of shingles."""
-        ids = keep(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), "ids")
-        asked = self.documents.join(if_small(ids), "doc_id", "left_semi")
-        full = asked.mapInArrow(_full_sets(self.width), "doc_id long, shingles binary")
-        full = keep(full.distinct() if self.repeated else full, "sets")
-        for side in ("u", "v"):
-            known = full.withColumnsRenamed({"doc_id": side, "shingles": f"set_{side}"})
-            pairs = pairs.join(known, side)
-        links = keep(
-            pairs.select("u", "v", "set_u", "set_v").mapInArrow(_similar(self.percent), "u long, v long"), "links"
-        )
-        release(ids, full)
-        return links
-
-
-def _cross_pairs(limit: int):
-    """Best partners in other components, among the sets of one block of a
-    bucket, or between two of its blocks (``part`` 0 and 1)."""
+class _Forest:
+    """Union-find over the components that a task sees."""
+
+    def __init__(self, components: np.ndarray):
+        names, self.of = np.unique(components, return_inverse=True)
+        self.root = np.arange(len(names))
+
+    def components(self) -> np.ndarray:
+        """Component number of each row."""
+        while True:
+            above = self.root[self.root]
+            if (above == self.root).all():
+                return self.root[self.of]
+            self.root = above
+
+    def join(self, row: int, others: np.ndarray) -> np.ndarray:
+        """Join ``row`` with ``others``; of each component met, its first row."""
+        now = self.components()
+        met, first = np.unique(now[others], return_index=True)
+        met, first = met[met != now[row]], others[first[met != now[row]]]
+        self.root[met] = now[row]
+        return first
+
+
+def _forest_table(ids: np.ndarray, found: list[tuple[int, np.ndarray]]) -> pa.Table:
+    u = np.concatenate([np.full(len(rows), ids[row]) for row, rows in found]) if found else np.zeros(0, dtype=np.int64)
+    v = np.concatenate([ids[rows] for _, rows in found]) if found else np.zeros(0, dtype=np.int64)
+    return pa.table({"u": u, "v": v}, schema=pa.schema([("u", pa.int64()), ("v", pa.int64())]))
+
+
+def _agreeing_across(table: pa.Table) -> pa.Table:
+    """One agreeing pair for components of a bucket that have any; between two
+    blocks of a bucket (``part`` 0 and 1), or within one."""
+    ids, part = (table.column(c).to_numpy() for c in ("doc_id", "part"))
+    signs = _fixed(table.column("minima").combine_chunks(), MINIMA)
+    forest, found = _Forest(table.column("component").to_numpy()), []
+    for row in range(len(ids)):
+        now = forest.components()
+        others = np.flatnonzero((now != now[row]) & ((part != part[row]) | (not part.any())))
+        others = others[(signs[others] == signs[row]).sum(axis=1) >= LEAST_EQUAL]
+        if len(others):
+            found.append((row, forest.join(row, others)))
+    return _forest_table(ids, found)
+
+
+def _linked_across(percent: int):
+    """Links of sets outside (``part`` 0) with all sets (1), other components."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids, comps = (table.column(c).to_numpy() for c in ("doc_id", "component"))
-        part = table.column("part").to_numpy()
-        signs = _fixed(table.column("minima").combine_chunks(), MINIMA)
-        names, of = np.unique(comps, return_inverse=True)
-        # Every pair across components has a side outside the largest one.
-        outside = np.flatnonzero(of != np.bincount(of).argmax())
-        us, vs, more = [], [], False
-        two_blocks = part.any()
-        for i in outside.tolist():
-            other = of != of[i]
-            if two_blocks:
-                other &= part != part[i]
-            rest = np.flatnonzero(other)
-            equal = (signs[rest] == signs[i]).sum(axis=1)
-            rest, equal = rest[equal >= LEAST_EQUAL], equal[equal >= LEAST_EQUAL]
-            if len(rest) > limit:
-                more = True
-                rest = rest[np.lexsort((ids[rest], -equal))[:limit]]
-            us.append(np.full(len(rest), ids[i]))
-            vs.append(ids[rest])
-        u, v = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (us, vs))
-        return pa.table(
-            {"u": np.maximum(u, v), "v": np.minimum(u, v), "more": np.full(len(u), more)},
-            schema=pa.schema([("u", pa.int64()), ("v", pa.int64()), ("more", pa.bool_())]),
-        )
+        ids, part = (table.column(c).to_numpy() for c in ("doc_id", "part"))
+        sets = [np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in table.column("shingles")]
+        every, outside = np.flatnonzero(part == 1), np.flatnonzero(part == 0)
+        if not len(every) or not len(outside):
+            return _forest_table(ids, [])
+        size = np.array([len(s) for s in sets])
+        known, codes = np.unique(np.concatenate([sets[r] for r in every]), return_inverse=True)
+        begins = np.cumsum(size[every]) - size[every]
+        forest, found = _Forest(table.column("component").to_numpy()), []
+        marked = np.zeros(len(known) + 1, dtype=np.int32)
+        for row in outside.tolist():
+            now = forest.components()
+            if (now[every] == now[row]).all():
+                continue
+            index = np.searchsorted(known, sets[row])
+            index[index == len(known)] = 0
+            index = index[known[index] == sets[row]]
+            marked[index] = 1
+            shared = np.add.reduceat(marked[codes], begins)
+            marked[index] = 0
+            linked = 100 * shared >= percent * (size[row] + size[every] - shared)
+            others = every[linked & (now[every] != now[row])]
+            if len(others):
+                found.append((row, forest.join(row, others)))
+        return _forest_table(ids, found)
 
     return run
 
 
-def _between_components(buckets: DataFrame, sets: DataFrame, components: DataFrame, limit: int) -> DataFrame:
-    """(u, v, more): candidate links between components that share a bucket."""
-    known = components.withColumnsRenamed({"node": "doc_id"})
+def _blocks(count: Column) -> Column:
+    return F.ceil(count / BLOCK).cast("int")
+
+
+def _in_blocks(blocks: Column) -> Column:
+    return F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
+
+
+def _agreeing_groups(sets: DataFrame) -> DataFrame:
+    """(node, component): loose groups of two and more sets."""
+    exploded = sets.select("doc_id", F.explode("bands").alias("key"))
+    shared = exploded.groupBy("key").agg(F.min("doc_id").alias("v"), F.count("*").alias("n")).where("n > 1")
+    buckets = keep(exploded.join(shared.drop("n"), "key").select("key", "doc_id", "v"), "buckets")
+    pairs = buckets.where("doc_id <> v").select(F.col("doc_id").alias("u"), "v").distinct()
+    for side in ("u", "v"):
+        pairs = pairs.join(sets.select(F.col("doc_id").alias(side), F.col("minima").alias(f"minima_{side}")), side)
+    near = pairs.select("u", "v", "minima_u", "minima_v").mapInArrow(_agreeing, "u long, v long")
+    groups = connected_components(near)
+
+    known = groups.withColumnsRenamed({"node": "doc_id"})
     members = buckets.join(known, "doc_id", "left").select(
         "key", "doc_id", F.coalesce("component", "doc_id").alias("component")
     )
@@ -228,9 +261,8 @@ def _between_components(buckets: DataFrame, sets: DataFrame, components: DataFra
         members.groupBy("key")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
         .where(F.col("low") < F.col("high"))
-        .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        .select("key", _blocks(F.col("n")).alias("blocks"))
     )
-    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     met = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda j: F.struct(
@@ -239,12 +271,46 @@ def _between_components(buckets: DataFrame, sets: DataFrame, components: DataFra
     )
     rows = (
         members.join(mixed, "key")
-        .withColumn("block", block)
+        .withColumn("block", _in_blocks(F.col("blocks")))
         .join(sets.select("doc_id", "minima"), "doc_id")
         .select("key", "doc_id", "component", "minima", F.inline(met))
     )
-    found = rows.groupBy("key", "i", "j").applyInArrow(_cross_pairs(limit), "u long, v long, more boolean")
-    return found.groupBy("u", "v").agg(F.max("more").alias("more"))
+    across = keep(rows.groupBy("key", "i", "j").applyInArrow(_agreeing_across, "u long, v long").distinct(), "across")
+    if not across.take(1):
+        return groups
+    stars = groups.select(F.col("node").alias("u"), F.col("component").alias("v"))
+    return connected_components(stars.unionByName(across))
+
+
+def _links(groups: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """(u, v): links on full sets that connect what is linked in each group."""
+    stars = groups.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
+    for side in ("u", "v"):
+        stars = stars.join(full.withColumnsRenamed({"doc_id": side, "shingles": f"set_{side}"}), side)
+    stars = stars.select("u", "v", "set_u", "set_v").mapInArrow(_similar(percent), "u long, v long")
+    stars = keep(stars, "star-links")
+
+    # A star is its own component; all sets that it did not reach are singles.
+    reached = stars.select(F.col("u").alias("doc_id")).distinct().withColumn("reached", F.lit(True))
+    members = groups.withColumnsRenamed({"node": "doc_id", "component": "group"}).join(reached, "doc_id", "left")
+    inside = F.coalesce("reached", F.col("doc_id") == F.col("group"))
+    members = members.select("group", "doc_id", inside.alias("inside"))
+    sizes = members.groupBy("group").agg(F.count("*").alias("n"), F.count_if(~F.col("inside")).alias("n_out"))
+    open_ = sizes.where("n_out > 0").select(
+        "group", _blocks(F.col("n")).alias("blocks"), _blocks(F.col("n_out")).alias("blocks_out")
+    )
+    rows = members.join(open_, "group").withColumns(
+        {"i": _in_blocks(F.col("blocks_out")), "j": _in_blocks(F.col("blocks"))}
+    )
+    part = lambda rows, number: rows.withColumns(
+        {"part": F.lit(number), "component": F.when(F.col("inside"), F.col("group")).otherwise(F.col("doc_id"))}
+    ).select("group", "i", "j", "doc_id", "component", "part")
+    last = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+    outside = part(rows.where(~F.col("inside")).withColumn("j", last("blocks")), 0)
+    every = part(rows.withColumn("i", last("blocks_out")), 1)
+    met = outside.unionByName(every).join(full, "doc_id")
+    across = met.groupBy("group", "i", "j").applyInArrow(_linked_across(percent), "u long, v long")
+    return stars.unionByName(across)
 
 
 def near_duplicates(
@@ -279,28 +345,14 @@ def near_duplicates(
     sets = usable.join(first.select(F.col("v").alias("doc_id")), "doc_id", "left_semi")
     sets = sets.select("doc_id", "bands", "minima")
     sets = keep(sets.distinct() if repeated else sets, "distinct-sets")
-    links = keep(copies.where("u <> v").distinct(), "copies")
-    search = _Search(given.where("doc_id IS NOT NULL"), sets, words, similarity_percent, repeated)
 
-    exploded = sets.select("doc_id", F.explode("bands").alias("key"))
-    shared = exploded.groupBy("key").agg(F.min("doc_id").alias("v"), F.count("*").alias("n")).where("n > 1")
-    buckets = keep(exploded.join(shared.drop("n"), "key").select("key", "doc_id", "v"), "buckets")
-    pairs = buckets.where("doc_id <> v").select(F.col("doc_id").alias("u"), "v").distinct()
-    near = keep(search.with_minima(pairs).mapInArrow(_agreeing, "u long, v long"), "near")
-    links = keep(links.unionByName(search.confirmed(near)), "links")
+    groups = keep(_agreeing_groups(sets), "groups")
+    asked = given.join(if_small(groups.select(F.col("node").alias("doc_id"))), "doc_id", "left_semi")
+    full = asked.mapInArrow(_full_sets(words), "doc_id long, shingles binary")
+    full = keep(full.distinct() if repeated else full, "full-sets")
+    links = _links(groups, full, similarity_percent).unionByName(copies.where("u <> v").distinct())
     components = connected_components(links)
-
-    limit = 1
-    while True:
-        across = keep(_between_components(buckets, sets, components, limit), "across")
-        n, more = across.agg(F.count("*"), F.max("more")).first()
-        if n:
-            stars = components.select(F.col("node").alias("u"), F.col("component").alias("v"))
-            components = connected_components(stars.unionByName(search.confirmed(across.select("u", "v"))))
-        release(across)
-        if not more:
-            break
-        limit *= PARTNERS_STEP
+    release(first, sets, groups, full)
 
     known = components.withColumnsRenamed({"node": "doc_id", "component": "reached"})
     component = F.coalesce("reached", "doc_id")
