@@ -59,6 +59,19 @@ def test_round_trip(spark, raw, tmp_path):
     assert sorted(map(str, back.collect())) == sorted(map(str, table.collect()))
 
 
+def test_unknown_keys_pass_through(spark, raw, tmp_path):
+    more = {**RECORDS[0], "contact_id": "more", "score": 1, "tags": ["a", {"b": None}]}
+    (raw.parent / "more.jsonl").write_text(json.dumps(more) + "\n\n")
+    table = read_contacts(spark, str(raw.parent), keep_extra=True)
+    assert table.count() == len(RECORDS) + 1
+    out = str(tmp_path / "kept")
+    write_contacts(table, out)
+    lines = [json.loads(line) for p in (tmp_path / "kept").glob("part-*") for line in p.read_text(encoding="utf-8").splitlines()]
+    want = [*RECORDS, more]
+    by_id = lambda rows: sorted(rows, key=lambda r: r["contact_id"])
+    assert by_id(lines) == by_id(want)
+
+
 def test_jobs_end_to_end(spark, raw, tmp_path):
     out = str(tmp_path / "jobs")
     made = run(spark, "preprocess", str(raw), out)

@@ -99,9 +99,12 @@ def test_crosstab(spark):
     assert sorted(tuple(r) for r in topics.crosstab(table).collect()) == [
         (-1, "B", 1), (0, "A", 2), (0, "UNKNOWN", 1), (3, "B", 1),
     ]
-    for dense in (topics.crosstab_dense(table), topics.crosstab_dense(table, ["UNKNOWN", "B", "A"])):
-        assert dense.columns == ["topic", "A", "B", "UNKNOWN"]
-        assert [tuple(r) for r in dense.collect()] == [(0, 2, 0, 1), (3, 0, 1, 0), (-1, 0, 1, 0)]
+    dense = topics.crosstab_dense(table)
+    assert dense.columns == ["topic", "A", "B", "UNKNOWN"]
+    assert [tuple(r) for r in dense.collect()] == [(0, 2, 0, 1), (3, 0, 1, 0), (-1, 0, 1, 0)]
+    dense = topics.crosstab_dense(table, ["A", "C"])  # every row counts somewhere
+    assert dense.columns == ["topic", "A", "C", "UNKNOWN", "OTHER"]
+    assert [tuple(r) for r in dense.collect()] == [(0, 2, 0, 1, 0), (3, 0, 0, 0, 1), (-1, 0, 0, 0, 1)]
     assert [tuple(r) for r in topics.assignments(table).orderBy("contact_id").collect()][:1] == [(1, 0)]
 
 
@@ -138,6 +141,34 @@ def test_fit_topics(spark):
         topics.fit_topics(table.limit(0))
 
 
+def test_outliers_do_not_depend_on_the_number_of_rows(spark):
+    rng = np.random.default_rng(1)
+    shares = []
+    for times in (1, 100):
+        dense = np.repeat(np.eye(3, 60), 30 * times, axis=0) + 0.01 * rng.normal(size=(90 * times, 60))
+        noise = np.hstack([np.zeros((10 * times, 3)), rng.normal(size=(10 * times, 57))])
+        noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+        points = np.vstack([dense, noise])
+        rows = [(i, [float(x) for x in p]) for i, p in enumerate(points)]
+        table = spark.createDataFrame(rows, "contact_id int, embedding array<float>")
+        fitted = topics.fit_topics(table, min_topic_size=5, max_topics=3, min_similarity=0.5)
+        n_out = fitted.where("topic = -1").count()
+        assert fitted.where("topic = -1 AND contact_id < {}".format(len(dense))).count() == 0
+        shares.append(n_out / len(points))
+    assert shares == [0.1, 0.1]
+
+
+def test_max_topics_is_honoured(spark):
+    rng = np.random.default_rng(2)
+    points = np.repeat(np.eye(80, 80), 6, axis=0) + 0.001 * rng.normal(size=(480, 80))
+    rows = [(i, [float(x) for x in p]) for i, p in enumerate(points)]
+    table = spark.createDataFrame(rows, "contact_id int, embedding array<float>")
+    fitted = topics.fit_topics(table, min_topic_size=5, max_topics=80)
+    assert fitted.where("topic >= 0").select("topic").distinct().count() > 64
+    with pytest.raises(ValueError):
+        topics.fit_topics(table, max_topics=0)
+
+
 def test_topic_modeller(spark):
     rows = [(i, "A" if i % 2 else "B", "parcel lost again" if i % 2 else "app login broken") for i in range(20)]
     table = spark.createDataFrame(rows, "contact_id int, intent string, cleaned_text string")
@@ -179,6 +210,14 @@ def test_split_of_text_ids_depends_on_seed(spark):
     assert sides[0] == sides[1] != sides[2] and len(sides[0]) == len(sides[2]) == 10
 
 
+def test_split_keeps_rows_without_id(spark):
+    table = spark.createDataFrame([(i if i % 4 else None,) for i in range(20)], "contact_id int")
+    for fraction in (0.2, 0.0, 1.0):
+        train, test = evaluate.split_train_test(table, fraction)
+        assert train.count() + test.count() == 20
+        assert train.where("contact_id IS NULL").count() == 5
+
+
 def test_rule_evaluation(spark):
     rows = [("A", "A"), ("A", "B"), ("A", None), (None, "A")]
     table = spark.createDataFrame(rows, "intent string, predicted_intent string")
@@ -201,6 +240,8 @@ def test_knn_evaluation_and_disagreements(spark):
     assert tuple(evaluate.evaluate_knn(predictions, test.limit(0)).first()) == (0, 0, None)
     differing = evaluate.disagreements(test, predictions)
     assert sorted(r["query_id"] for r in differing.collect()) == [2, 4]
+    unseen = evaluate.disagreements(test, predictions.where("query_id <> 4"))
+    assert sorted(r["query_id"] for r in unseen.collect()) == [2, 4]
     shown = evaluate.show_disagreements(differing, test, 1).collect()
     assert [(r["query_id"], r["rule_intent"], r["knn_intent"], r["preview"]) for r in shown] == [(2, None, "A", "t2")]
 
