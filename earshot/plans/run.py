@@ -43,7 +43,7 @@ def main() -> None:
     parser.add_argument("source")
     parser.add_argument("target")
     args = parser.parse_args()
-    spark = prepare_session(SparkSession.builder.appName(f"earshot-{args.job}").getOrCreate())
+    spark = prepare_session(SparkSession.builder.appName(f"earshot-{args.job}").getOrCreate(), tune=True)
     for name, table in run(spark, args.job, args.source, args.target).items():
         if name not in BIG_TABLES:
             print(name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 from pathlib import Path
@@ -13,21 +14,24 @@ _METHOD_LIMIT, _METHOD_LIMIT_DEFAULT = "spark.sql.codegen.hugeMethodLimit", "655
 _shipped: set[str] = set()
 
 
-def prepare_session(spark: SparkSession) -> SparkSession:
+def prepare_session(spark: SparkSession, tune: bool = False) -> SparkSession:
     """Make a session fit for this library, once per application.
 
     * Python workers get to import the package, where it is not installed.
-    * Generated methods above 8,000 bytes are split.  HotSpot never compiles
-      longer ones, and 83 rules in one projection make a longer one (measured:
-      scoring short texts is 2.5 times as fast).  A value the user chose stays.
+    * With ``tune``, generated methods above 8,000 bytes are split, in the
+      whole session.  HotSpot never compiles longer ones, and 83 rules in one
+      projection make a longer one (measured: scoring short texts is 2.5 times
+      as fast).  A value the user chose stays.
     """
     application = spark.sparkContext.applicationId
     if application not in _shipped:
-        base = Path(tempfile.mkdtemp(prefix="earshot-package-")) / _PACKAGE.name
+        folder = tempfile.mkdtemp(prefix="earshot-package-")  # the driver serves the archive from here
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        base = Path(folder) / _PACKAGE.name
         archive = shutil.make_archive(str(base), "zip", _PACKAGE.parent, _PACKAGE.name)
         spark.sparkContext.addPyFile(archive)
         _shipped.add(application)
-    if spark.conf.get(_METHOD_LIMIT) == _METHOD_LIMIT_DEFAULT:
+    if tune and spark.conf.get(_METHOD_LIMIT) == _METHOD_LIMIT_DEFAULT:
         spark.conf.set(_METHOD_LIMIT, "8000")
     return spark
 
@@ -48,4 +52,4 @@ def local_session(cores: int | str = "*", name: str = "earshot") -> SparkSession
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return prepare_session(spark)
+    return prepare_session(spark, tune=True)
