@@ -31,6 +31,9 @@ STEPS, RATE = 60, 0.5
 GOOD = 0.5
 # A measure enters as it is and as min(x / knee, 1) for each knee.
 KNEES = (0.03, 0.15)
+# Words added before repetition is judged: one repeated word says little in a
+# short text.
+FEW = 20
 
 _CLASSES = np.zeros(256, dtype=np.int64)
 _CLASSES[33:48] = _CLASSES[58:65] = _CLASSES[91:97] = _CLASSES[123:127] = 5  # other signs
@@ -67,7 +70,7 @@ def _measured(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     measures = np.column_stack(
         [
             share(count[:, 1], letters), share(count[:, 4], words), share(count[:, 6], words), share(count[:, 5], words),
-            share(again[0], words), share(again[1], words), share(count[:, 3], size), share(count[:, 7], words),
+            share(again[0], words + FEW), share(again[1], words + FEW), share(count[:, 3], size), share(count[:, 7], words),
             share(count[:, 8], letters + count[:, 8]), share(size, words) / 40,
         ]
     ).clip(0, 1)
