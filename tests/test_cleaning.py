@@ -6,7 +6,6 @@ import time
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from earshot import constants as C
 from earshot.functions.channels import CLEANERS
