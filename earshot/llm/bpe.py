@@ -25,7 +25,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 250_000
+# Texts whose ids are handed on together.
+TEXTS_TOGETHER = 256
 _MASK = (1 << 64) - 1
 # A space that lies in a longer run of white space, so that a pre-token may
 # cross it.  Before every other space a pre-token begins.
@@ -235,7 +237,8 @@ def encode_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(*shared.value)
-        for batch in batches:
+        parts = (b.slice(at, TEXTS_TOGETHER) for b in batches for at in range(0, b.num_rows, TEXTS_TOGETHER))
+        for batch in parts:
             counts, digests, decoded, listed = [], [], [], []
             for text in batch.column(1):
                 ids = codec.encode(text.as_py() or "")

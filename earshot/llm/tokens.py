@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text handled in one go; a longer text is handled alone.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
