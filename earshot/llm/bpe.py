@@ -16,7 +16,7 @@ import hashlib
 import heapq
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MEMO_ENTRIES = 250_000
+MEMO_ENTRIES = 300_000
 # Texts whose ids are handed on together.
 TEXTS_TOGETHER = 256
 _MASK = (1 << 64) - 1
@@ -87,6 +87,27 @@ class MinimalPerfectHash:
         return -shift - 1 if shift < 0 else self._displaced(high, shift)
 
 
+class _Memo:
+    """At most MEMO_ENTRIES results.  When the young half is full it becomes the
+    old one, from which what is still asked for comes back."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        self.make = make
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def __call__(self, key: str) -> bytes:
+        value = self.young.get(key)
+        if value is None:
+            value = self.old.get(key)
+            if value is None:
+                value = self.make(key)
+            if len(self.young) >= MEMO_ENTRIES // 2:
+                self.young, self.old = {}, self.young
+            self.young[key] = value
+        return value
+
+
 class Codec:
     """Ranks of byte strings, and the pattern that splits text."""
 
@@ -107,8 +128,9 @@ class Codec:
         self.flat = np.frombuffer(b"".join(in_order), dtype=np.uint8)
         self.split = regex.compile(pattern).findall
         self.by_space = pattern_begins_at_spaces(pattern)
-        self.tokens: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.token_ids = _Memo(self._encoded)
+        # Pieces come without the space that they begin with.
+        self.piece_ids = _Memo(lambda piece: self._of_part(" " + piece))
 
     def whole(self, token: bytes) -> int | None:
         slot = self.table.slot(token)
@@ -154,15 +176,7 @@ class Codec:
 
     def _of_part(self, part: str) -> bytes:
         """Ids of a part of a text that pre-tokens do not cross."""
-        memo, out = self.tokens, []
-        if len(memo) > MEMO_ENTRIES:
-            memo.clear()
-        for token in self.split(part):
-            ids = memo.get(token)
-            if ids is None:
-                ids = memo[token] = self._encoded(token)
-            out.append(ids)
-        return out[0] if len(out) == 1 else b"".join(out)
+        return b"".join(map(self.token_ids, self.split(part)))
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
@@ -170,16 +184,8 @@ class Codec:
         if not self.by_space or _CROSSED.search(text):
             return np.frombuffer(self._of_part(text), dtype="<u4")
         first, *rest = text.split(" ")
-        memo = self.pieces
-        try:
-            parts = [memo[piece] for piece in rest]
-        except KeyError:
-            if len(memo) > MEMO_ENTRIES:
-                memo.clear()
-            for piece in rest:
-                if piece not in memo:
-                    memo[piece] = self._of_part(" " + piece)
-            parts = [memo[piece] for piece in rest]
+        young = self.piece_ids.young.get
+        parts = [young(piece) or self.piece_ids(piece) for piece in rest]
         return np.frombuffer(self._of_part(first) + b"".join(parts), dtype="<u4")
 
     def decode(self, ids: np.ndarray) -> bytes:
