@@ -31,7 +31,10 @@ def op3_license_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_topk_search(spark: SparkSession, sf: str) -> DataFrame:
-    return topk.top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+    found = topk.top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+    fits = F.col("score").between(-(2**63), 2**63 - 1)
+    too_large = F.raise_error(F.lit("a score does not fit a long"))
+    return found.withColumn("score", F.when(fits, F.col("score").cast("long")).otherwise(too_large))
 
 
 def op5_quality(spark: SparkSession, sf: str) -> DataFrame:

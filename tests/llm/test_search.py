@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -109,6 +110,37 @@ def test_odd_vectors(spark):
     assert topk.top_k(table.where("vec_id = 0"), F.col("vec_id") % 50 == 0).collect() == []
 
 
+def rows_top_k(rows, is_query, k):
+    whole = [(i, [int(256 * Fraction(x) // 1) for x in v]) for i, v in rows]
+    found = {}
+    for query, q in whole:
+        if is_query(query):
+            found.setdefault(query, []).extend((-sum(a * b for a, b in zip(q, v)), i) for i, v in whole if i != query)
+    return sorted((q, rank, i, -s) for q, all_ in found.items() for rank, (s, i) in enumerate(sorted(all_)[:k], 1))
+
+
+@pytest.mark.parametrize("largest", [3e5, 1e7, 1e12])
+def test_large_components_and_repeated_rows(spark, monkeypatch, largest):
+    """Close scores of components far beyond 2**26 / 256, and ids with several rows."""
+    monkeypatch.setattr(topk, "BLOCK_BYTES", 1)
+    choose = np.random.default_rng(5)
+    rows = [(i, v) for i, v in enumerate(choose.normal(size=(700, 4)).tolist())]
+    rows += [(1000 + i, (largest * (1 + choose.integers(0, 3, 4) / 2**30)).tolist()) for i in range(40)]
+    rows += [(50, [largest, 1.0, 2.0, 3.0])] * 7 + [(50, [-1.0, 2.0, 0.5, 0.0])] + rows[-3:] * 2 + [(3, [0.0] * 4)] * 2
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = topk.top_k(table, F.col("vec_id") % 50 == 0, 5)
+    assert sorted(map(tuple, got.collect())) == rows_top_k(rows, lambda i: i % 50 == 0, 5)
+
+
+def test_largest_doubles(spark):
+    rows = [(0, [1.0, 0.0]), (1, [-1e308, 1e308]), (2, [0.0, 1.5e308]), (3, [1e20, -1e300]), (4, [2.0, 0.0]), (5, [2.0, 9.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = rows_top_k(rows, lambda i: i == 0, 4)
+    assert sorted(map(tuple, topk.top_k(table, F.col("vec_id") == 0, 4).collect())) == want
+    with pytest.raises(Exception, match="more than 38 digits"):
+        topk.top_k(table, F.col("vec_id") == 2, 5).collect()
+
+
 # --- benchmark passages -----------------------------------------------------
 
 
