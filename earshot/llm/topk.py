@@ -5,7 +5,8 @@ mass of equal lengths is cut as well).  A query gets a first threshold from the
 ``SEEDS`` longest vectors and visits only blocks whose longest vector could
 reach it.  Queries and blocks meet in tiles of bounded size.  In a tile the
 block is cut into buckets of ``BUCKET`` vectors; a query's threshold divided by
-its own and the bucket's length is the cosine that a vector must reach there:
+its own and the bucket's length is the cosine that a vector must reach there, -1
+where the threshold is below zero:
 
 * above 1 the bucket is passed over, and with it all shorter ones;
 * from ``COORDINATE_FROM`` on, on average, candidates come from the feasible
@@ -196,8 +197,10 @@ def _search_tile(best: _Best, queries: np.ndarray, ids: np.ndarray, vectors: np.
         if not len(alive):
             # A floor below zero keeps a query alive, so no shorter bucket counts.
             break
-        cosine = np.where(reach[alive] > 0, best.floor[alive] / np.maximum(reach[alive], 1e-300), -1.0)
-        if np.isfinite(reach[alive]).all() and np.maximum(cosine, -1).mean() >= COORDINATE_FROM:
+        # Shorter vectors may be further off to stay above a floor below zero.
+        above = (reach[alive] > 0) & (best.floor[alive] >= 0)
+        cosine = np.where(above, best.floor[alive] / np.maximum(reach[alive], 1e-300), -1.0)
+        if np.isfinite(reach[alive]).all() and cosine.mean() >= COORDINATE_FROM:
             unit = queries[alive] / np.maximum(query_lengths[alive, None], 1e-300)
             for q, rows in _by_coordinate(unit, cosine * (1 - SLACK) - SLACK, bucket):
                 _, upper = _bounds(queries[alive[q]][None], bucket[rows])

@@ -141,6 +141,18 @@ def test_largest_doubles(spark):
         topk.top_k(table, F.col("vec_id") == 2, 5).collect()
 
 
+def test_negative_floor_beside_high_ones():
+    """A query opposite to the hot direction, in a bucket of mixed lengths that
+    the other queries search by coordinate."""
+    vectors = np.array([[0.0, 100.0], [-4.0, 0.5], [-90.0, 1.0], [0.5, 99.0]])
+    queries = np.array([[250.0, 51.0]] + [[0.0, 256.0]] * 9) / 256
+    floor = np.array([-10.0] + [95.0] * 9) * topk.UNIT
+    best = topk._Best(np.arange(100, 110), floor, 4)
+    topk._search_tile(best, queries, np.arange(4), vectors)
+    assert sorted(best.vector[best.query == 0].tolist()) == [0, 1, 3]
+    assert best.score[(best.query == 0) & (best.vector == 1)].tolist() == [(-4 * 250 + 51 // 2) * 256 + 128]
+
+
 # --- benchmark passages -----------------------------------------------------
 
 
