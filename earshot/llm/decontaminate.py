@@ -9,7 +9,9 @@ intersected with them.  A shard answers for its own texts, so no word, however
 common, is gathered in one place.
 
 A proximity match is a window of which at least ``NEAR_WORDS`` of its words
-stand within ``SLOP`` words of their places, the rarest at its own.
+stand within ``SLOP`` words of their places in one text.  One of its
+``WINDOW - NEAR_WORDS + 1`` rarest words is among them, so starts are tried
+around the places of each of these.
 """
 
 from __future__ import annotations
@@ -154,18 +156,20 @@ class _Postings:
         return self.term_at[places + WINDOW] == terms
 
 
-def _occurrences(tests: Tests, order: np.ndarray, postings: _Postings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(window, place of its rarest word) for all places of rarest words."""
-    rarest = np.take_along_axis(tests.window_terms, order[:, :1], axis=1)[:, 0]
-    n = postings.n[rarest]
+def _occurrences(
+    tests: Tests, order: np.ndarray, postings: _Postings, windows: np.ndarray, nth: int, size: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(window, place of its nth rarest word) for all places, about ``size`` in one go."""
+    terms = tests.window_terms[windows, order[windows, nth]]
+    n = postings.n[terms]
     ends = np.cumsum(n)
     low = 0
     while low < len(n):
-        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + CANDIDATES, side="right")))
-        window = np.repeat(np.arange(low, high), n[low:high])
-        if len(window):
-            within = np.arange(len(window)) - np.repeat(np.cumsum(n[low:high]) - n[low:high], n[low:high])
-            yield window, postings.positions[postings.first[rarest[window]] + within]
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + size, side="right")))
+        at = np.repeat(np.arange(low, high), n[low:high])
+        if len(at):
+            within = np.arange(len(at)) - np.repeat(np.cumsum(n[low:high]) - n[low:high], n[low:high])
+            yield windows[at], postings.positions[postings.first[terms[at]] + within]
         low = high
 
 
@@ -180,22 +184,34 @@ def _exact(tests: Tests, order: np.ndarray, postings: _Postings, window: np.ndar
     return window, start
 
 
-def _near(tests: Tests, order: np.ndarray, postings: _Postings, window: np.ndarray, place: np.ndarray):
-    """Windows with NEAR_WORDS of their words within SLOP of their places."""
-    full = (tests.window_terms[window] >= 0).all(axis=1)
-    window, start = window[full], (place - order[window, 0])[full]
-    met = np.ones(len(window), dtype=np.int64)
-    for k in range(1, WINDOW):
-        offset = order[window, k]
-        term = tests.window_terms[window, offset]
-        close = np.zeros(len(window), dtype=bool)
-        for step in range(-SLOP, SLOP + 1):
-            at = start + offset + step
-            close |= postings.has(term, np.clip(at, -WINDOW, len(postings.term_at) - WINDOW - 1))
-        met += close
-        stay = met + (WINDOW - 1 - k) >= NEAR_WORDS
-        window, start, met = window[stay], start[stay], met[stay]
-    return window, start
+def _near(tests: Tests, order: np.ndarray, postings: _Postings, first: np.ndarray, counts: np.ndarray):
+    """(text, item) of windows with NEAR_WORDS of their words within SLOP of
+    their places.  A start is tried by the first of the rarest words that is met."""
+    steps, may_miss = np.arange(-SLOP, SLOP + 1), WINDOW - NEAR_WORDS
+    full = tests.window_terms[:, -1] >= 0
+    for nth in range(may_miss + 1):
+        there = postings.n[np.take_along_axis(tests.window_terms, order[:, nth : nth + 1], axis=1)[:, 0]] > 0
+        windows = np.flatnonzero(full & there)
+        windows = windows[(postings.n[tests.window_terms[windows]] == 0).sum(axis=1) <= may_miss]
+        for window, place in _occurrences(tests, order, postings, windows, nth, CANDIDATES // len(steps)):
+            start = ((place - order[window, nth])[:, None] + steps[None, :]).ravel()
+            text = np.repeat(np.searchsorted(first, place, side="right") - 1, len(steps))
+            window = np.repeat(window, len(steps))
+            missed = np.zeros(len(window), dtype=np.int64)
+            for k in range(WINDOW):
+                if k == nth:
+                    continue
+                offset = order[window, k]
+                term = tests.window_terms[window, offset]
+                low, high = first[text], first[text] + counts[text]
+                close = np.zeros(len(window), dtype=bool)
+                for step in steps:
+                    at = start + offset + step
+                    close |= postings.has(term, np.clip(at, low, high - 1)) & (at >= low) & (at < high)
+                missed += ~close
+                stay = (missed <= may_miss) & (~close if k < nth else True)
+                window, start, text, missed = window[stay], start[stay], text[stay], missed[stay]
+            yield text, tests.item[window]
 
 
 def _ranges(edge: np.ndarray, first: np.ndarray, counts: np.ndarray):
@@ -226,13 +242,13 @@ def _lookup(shared):
                 text_of = lambda places: np.searchsorted(first, places, side="right") - 1  # noqa: B023, E731
                 edge = np.zeros(span + 1, dtype=np.int64)
                 exact, near = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-                for window, place in _occurrences(tests, order, postings):
+                for window, place in _occurrences(tests, order, postings, np.arange(len(order)), 0, CANDIDATES):
                     hit, start = _exact(tests, order, postings, window, place)
                     np.add.at(edge, start, 1)
                     np.add.at(edge, start + (tests.window_terms[hit] >= 0).sum(axis=1), -1)
                     exact.append(np.unique(text_of(start) * n_items + tests.item[hit]))
-                    close, start = _near(tests, order, postings, window, place)
-                    near.append(np.unique(text_of(start + order[close, 0]) * n_items + tests.item[close]))
+                for text, item in _near(tests, order, postings, first, counts):
+                    near.append(np.unique(text * n_items + item))
                 pairs, closes = np.unique(np.concatenate(exact)), np.unique(np.concatenate(near))
                 text, starts, ends = _ranges(edge, first, counts)
                 items = _lists(pairs // n_items, pairs % n_items, len(counts))

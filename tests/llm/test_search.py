@@ -204,6 +204,48 @@ def test_proximity_and_empties(spark):
     assert decontaminate.benchmark_digests(given, benchmark.limit(0)).where("n_hit > 0").count() == 0
 
 
+def brute_near(text, items):
+    listed, n = words(text), 0
+    for _, item in items:
+        test = words(item)
+        windows = [test[k : k + 10] for k in range(len(test) - 9)]
+        n += any(
+            sum(w in listed[max(s + o - 2, 0) : max(s + o + 3, 0)] for o, w in enumerate(window)) >= 8
+            for window in windows for s in range(-12, len(listed) + 3)
+        )
+    return n
+
+
+def test_proximity_by_any_word(spark):
+    """The rarest word replaced, shifted, and unseen in the corpus; and random edits."""
+    choose = random.Random(4)
+    common = [f"w{k}" for k in range(30)]
+    items = [(k, " ".join([*choose.sample(common, 6), f"name{k}", *choose.sample(common, choose.randrange(3, 11))])) for k in range(25)]
+    documents = []
+    for k, text in items:
+        listed = text.split()
+        at = listed.index(f"name{k}")
+        without = [*listed[:at], "other", *listed[at + 1 :]], [*listed[:at], *listed[at + 1 :]]
+        documents += [edit if k % 2 else [*choose.sample(common, 4), *edit] for edit in without]
+        if k >= 20:
+            continue  # these names occur nowhere
+        documents += [[*listed[: at - 1], listed[at], listed[at - 1], *listed[at + 1 :]], [f"name{k}", "x"]]
+        cut = choose.randrange(3, 8)  # a window over two texts is none
+        documents += [["x", *listed[:cut]], [*listed[cut:], "x"]]
+    for _ in range(150):
+        listed = choose.choice(items[:20])[1].split()
+        for _ in range(choose.randrange(5)):
+            at = choose.randrange(len(listed))
+            listed[at : at + choose.randrange(2)] = choose.sample(common, choose.randrange(2))
+        documents.append(listed)
+    texts = [(k, " ".join(listed)) for k, listed in enumerate(documents)]
+    given = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: r.n_near for r in decontaminate.benchmark_digests(given, benchmark).collect()}
+    want = {k: brute_near(text, items) for k, text in texts}
+    assert got == want and 50 < sum(map(bool, want.values())) < len(want)
+
+
 # --- byte BPE ---------------------------------------------------------------
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
