@@ -23,6 +23,7 @@ from earshot.operators.embed import embed_hashing
 from earshot.operators.hold import hold, small_side
 from earshot.operators.similar import RANK_DECIMALS
 
+# Clusters that are fitted where the caller names no bound and wants no more.
 MAX_TOPICS = 64
 OTHER_INTENT = "OTHER"
 # Rows less like their centre (cosine) than this belong to no topic.
@@ -59,20 +60,23 @@ def fit_topics(
     min_topic_size: int = 5,
     nr_topics: int | None = None,
     vector_col: str = "embedding",
-    max_topics: int = MAX_TOPICS,
+    max_topics: int | None = None,
     seed: int = 42,
     min_similarity: float = MIN_SIMILARITY,
 ) -> DataFrame:
     """Add ``topic``: 0 is the largest, -1 an outlier.
 
     At most ``max_topics`` clusters are fitted, and no more than could have
-    ``min_topic_size`` rows each.  A row is an outlier when its cosine with its
+    ``min_topic_size`` rows each; without it, MAX_TOPICS or ``nr_topics``,
+    whichever is more.  A row is an outlier when its cosine with its
     cluster's centre is below ``min_similarity``, whatever the size of the
     table, or when fewer than ``min_topic_size`` rows are left in its cluster.
 
     The rows are read several times, so they are held; pass only the columns
     needed afterwards.
     """
+    if max_topics is None:
+        max_topics = max(MAX_TOPICS, nr_topics or 0)
     if max_topics < 1:
         raise ValueError("max_topics must be at least 1")
     contacts = hold(contacts)
@@ -289,14 +293,15 @@ class TopicModeller:
         nr_topics: int | None = None,
         embed: Callable[[DataFrame], DataFrame] = embed_hashing,
         id_col: str = "contact_id",
+        max_topics: int | None = None,
     ):
-        self.min_topic_size, self.nr_topics = min_topic_size, nr_topics
+        self.min_topic_size, self.nr_topics, self.max_topics = min_topic_size, nr_topics, max_topics
         self.embed, self.id_col = embed, id_col
         self._fitted: DataFrame | None = None
 
     def fit(self, contacts: DataFrame) -> TopicModeller:
         rows = self.embed(contacts.select(self.id_col, "intent", "cleaned_text"))
-        self._fitted = fit_topics(rows, self.min_topic_size, self.nr_topics)
+        self._fitted = fit_topics(rows, self.min_topic_size, self.nr_topics, max_topics=self.max_topics)
         return self
 
     @property

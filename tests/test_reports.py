@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from earshot import constants as C
 from earshot.operators import evaluate, sentiment, topics
+from earshot.plans import jobs
 from earshot.operators.embed import embed_one
 
 
@@ -169,6 +170,20 @@ def test_max_topics_is_honoured(spark):
         topics.fit_topics(table, max_topics=0)
 
 
+def test_more_topics_than_the_default(spark):
+    rng = np.random.default_rng(2)
+    points = np.repeat(np.eye(80, 80), 6, axis=0) + 0.001 * rng.normal(size=(480, 80))
+    rows = [(i, "A", str([float(x) for x in p])) for i, p in enumerate(points)]
+    table = spark.createDataFrame(rows, "contact_id int, intent string, cleaned_text string")
+    embed = lambda t: t.withColumn("embedding", F.from_json("cleaned_text", "array<float>"))
+    count = lambda fitted: fitted.where("topic >= 0").select("topic").distinct().count()
+    assert 64 < count(topics.TopicModeller(nr_topics=80, embed=embed).fit(table).assignments()) <= 80
+    assert 64 < count(topics.TopicModeller(max_topics=80, embed=embed).fit(table).assignments()) <= 80
+    assert 64 < count(jobs.topics_job(table, nr_topics=80, embedder=embed)["assigned"]) <= 80
+    assert 64 < count(jobs.topics_job(table, nr_topics=None, embedder=embed, max_topics=80)["assigned"]) <= 80
+    assert count(topics.TopicModeller(nr_topics=80, embed=embed, max_topics=10).fit(table).assignments()) <= 10
+
+
 def test_topic_modeller(spark):
     rows = [(i, "A" if i % 2 else "B", "parcel lost again" if i % 2 else "app login broken") for i in range(20)]
     table = spark.createDataFrame(rows, "contact_id int, intent string, cleaned_text string")
