@@ -73,5 +73,69 @@ def chat_format() -> str:
     """
 
 
+def _tree(name: str, leaves: str) -> str:
+    """CTEs of one forest over ``leaves`` (tree, idx, n, digest): all nodes, and
+    for each leaf of ``<name>_shown`` (row, tree, idx, n, digest) its siblings and
+    the root that it folds to."""
+    return f"""
+    {name}_nodes AS (
+        SELECT tree, 0 AS level, idx, n, digest FROM {leaves}
+        UNION ALL
+        SELECT tree, level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY idx))
+        FROM {name}_nodes WHERE n > 1 GROUP BY tree, level, idx // 2, n
+    ),
+    {name}_proofs AS (
+        SELECT l.tree, l.idx, coalesce(string_agg(s.digest, '' ORDER BY s.level), '') AS proof
+        FROM {leaves} l LEFT JOIN {name}_nodes s ON s.tree = l.tree AND s.idx = xor(l.idx >> s.level, 1)
+        GROUP BY l.tree, l.idx
+    ),
+    {name}_folded AS (
+        SELECT row, tree, 0 AS level, idx, n, digest FROM {name}_shown
+        UNION ALL
+        SELECT f.row, f.tree, f.level + 1, f.idx // 2, (f.n + 1) // 2, sha256(CASE WHEN f.idx % 2 = 1 THEN s.digest || f.digest ELSE f.digest || coalesce(s.digest, '') END)
+        FROM {name}_folded f LEFT JOIN {name}_nodes s ON s.tree = f.tree AND s.level = f.level AND s.idx = xor(f.idx, 1)
+        WHERE f.n > 1
+    )"""
+
+
+def merkle_manifest() -> str:
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    leaf = lambda n_chars: f"sha256({' || '.join(map(field, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+    # The bits of crc32, each byte followed by eight shifts (-1).
+    steps = "flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    crc = f"""xor(list_reduce(list_concat([4294967295::BIGINT], {steps}),
+        lambda c, v: CASE WHEN v >= 0 THEN xor(c, v) ELSE xor(c >> 1, 3988292384::BIGINT * (c & 1)) END), 4294967295::BIGINT)"""
+    return f"""
+    WITH RECURSIVE given AS (
+        SELECT doc_id, coalesce('=' || lang, '') AS tree, {leaf('n_chars')} AS digest,
+               CASE WHEN coalesce({crc} % 7 = 0, false) AND n_chars IS NOT NULL THEN {leaf('(n_chars + 1)')} ELSE {leaf('n_chars')} END AS shown
+        FROM documents
+    ),
+    leaves AS (
+        SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS idx,
+               count(*) OVER (PARTITION BY tree) AS n, row_number() OVER () AS row
+        FROM given
+    ),
+    low_shown AS (SELECT row, tree, idx, n, shown AS digest FROM leaves),
+    {_tree("low", "leaves")},
+    subroots AS (
+        SELECT '' AS tree, tree AS lang, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n, digest
+        FROM low_nodes WHERE n = 1
+    ),
+    high_shown AS (
+        SELECT f.row, '' AS tree, s.idx, s.n, f.digest FROM low_folded f JOIN subroots s ON s.lang = f.tree WHERE f.n = 1
+    ),
+    {_tree("high", "subroots")}
+    SELECT l.doc_id, l.digest AS leaf, s.digest AS subroot, r.digest AS root, sha256(p.proof || h.proof) AS proof_sha256,
+           f.digest AS folded_root, f.digest = r.digest AS verified
+    FROM leaves l JOIN subroots s ON s.lang = l.tree JOIN low_proofs p ON p.tree = l.tree AND p.idx = l.idx
+    JOIN high_proofs h ON h.idx = s.idx JOIN high_folded f ON f.row = l.row AND f.n = 1
+    CROSS JOIN (SELECT digest FROM high_nodes WHERE n = 1) r
+    """
+
+
 def statements() -> dict[str, str]:
-    return {"op2_url_filter": url_filter(), "op4_topk_search": topk_search(), "op8_chat_format": chat_format()}
+    return {
+        "op2_url_filter": url_filter(), "op4_topk_search": topk_search(), "op8_chat_format": chat_format(),
+        "op13_merkle_manifest": merkle_manifest(),
+    }

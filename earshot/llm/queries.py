@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import bpe, chat, credentials, decontaminate, licenses, minhash, pii, quality, topk, urls
+from earshot.llm import bpe, chat, credentials, decontaminate, licenses, merkle, minhash, pii, quality, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +63,10 @@ def op10_personal_data(spark: SparkSession, sf: str) -> DataFrame:
     return pii.personal_data_digests(_table(spark, sf, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf, "documents")).drop("proof")
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf).drop("ids")
 
@@ -72,6 +76,7 @@ def queries() -> dict[str, Query]:
         query.__name__: query
         for query in (
             op1_minhash_dedup, op2_url_filter, op3_license_scan, op4_topk_search, op5_quality, op6_secret_scan,
-            op7_decontaminate, op8_chat_format, op9_byte_bpe, op10_personal_data, pipeline,
+            op7_decontaminate, op8_chat_format, op9_byte_bpe, op10_personal_data, op13_merkle_manifest,
+            pipeline,
         )
     }
