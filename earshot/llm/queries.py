@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import alignment, bpe, chat, credentials, decontaminate, licenses, merkle, minhash, pii, quality, topk, urls
+from earshot.llm import alignment, bpe, chat, credentials, decontaminate, licenses, merkle, minhash, pii, quality, suffixes, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +63,10 @@ def op10_personal_data(spark: SparkSession, sf: str) -> DataFrame:
     return pii.personal_data_digests(_table(spark, sf, "documents"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffixes.remove_repeats(_table(spark, sf, "documents")).drop("kept")
+
+
 def op12_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
     bpe_path, piece_path = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return alignment.alignment_digests(_table(spark, sf, "documents"), bpe_path, public_tokenizers.PATTERN, piece_path)
@@ -81,7 +85,7 @@ def queries() -> dict[str, Query]:
         query.__name__: query
         for query in (
             op1_minhash_dedup, op2_url_filter, op3_license_scan, op4_topk_search, op5_quality, op6_secret_scan,
-            op7_decontaminate, op8_chat_format, op9_byte_bpe, op10_personal_data, op12_token_alignment, op13_merkle_manifest,
+            op7_decontaminate, op8_chat_format, op9_byte_bpe, op10_personal_data, op11_suffix_dedup, op12_token_alignment, op13_merkle_manifest,
             pipeline,
         )
     }
