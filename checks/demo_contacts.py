@@ -21,36 +21,36 @@ PHRASES = (
     ("PRESCRIPTION_DELAY", "the pack was supposed to come on Monday"),
     ("PRESCRIPTION_DELAY", "any news on dispatch"),
     ("PRESCRIPTION_DELAY", "nothing came and i am worried"),
-    ("REPEAT_PRESCRIPTION_QUERY", "i want to add a new item to my repeat list please"),
+    ("REPEAT_PRESCRIPTION_QUERY", "my son told me to press add a new item, yet the repeat list stayed empty"),
     ("REPEAT_PRESCRIPTION_QUERY", "my inhaler isn't on the list"),
     ("REPEAT_PRESCRIPTION_QUERY", "how do i reorder now that i left my old chemist"),
     ("REPEAT_PRESCRIPTION_QUERY", "the cream is missing from my order"),
     ("REPEAT_PRESCRIPTION_QUERY", "i want two months at once please"),
-    ("DELIVERY_ISSUE", "it was delivered to the wrong address"),
+    ("DELIVERY_ISSUE", "aunt maud signed for it: delivered to the wrong village, wrong address on your label"),
     ("DELIVERY_ISSUE", "the box is soaked and it was left with a neighbour"),
     ("DELIVERY_ISSUE", "i got a rm card but no parcel"),
     ("DELIVERY_ISSUE", "it was returned to you"),
     ("DELIVERY_ISSUE", "the driver threw it over the fence, disgraceful"),
     ("APP_WEBSITE_ISSUE", "i cant log in and the app keeps crashing"),
     ("APP_WEBSITE_ISSUE", "2fa code is not sent"),
-    ("APP_WEBSITE_ISSUE", "the password reset link is broken"),
+    ("APP_WEBSITE_ISSUE", "after a password reset the screen of my tablet goes blank"),
     ("APP_WEBSITE_ISSUE", "the website is useless"),
     ("APP_WEBSITE_ISSUE", "nhs login and two-factor both failed"),
-    ("CLINICAL_QUERY", "is it safe to take with ibuprofen"),
+    ("CLINICAL_QUERY", "grapefruit juice at breakfast, is it safe"),
     ("CLINICAL_QUERY", "since i missed a dose there is a side effect"),
     ("CLINICAL_QUERY", "the pills are a different colour, same medication"),
     ("CLINICAL_QUERY", "can the pharmacist call me"),
     ("CLINICAL_QUERY", "does it make you sleepy"),
     ("REFUND_BILLING", "i was charged twice and want a refund"),
-    ("REFUND_BILLING", "i have an HC2 certificate but you billed me"),
+    ("REFUND_BILLING", "your clerk overlooked the HC2 i had stapled on"),
     ("REFUND_BILLING", "what is the price"),
     ("REFUND_BILLING", "the payment taken is wrong"),
     ("REFUND_BILLING", "you took too much from my card"),
     ("GP_INTEGRATION", "my gp says the script was sent"),
-    ("GP_INTEGRATION", "how do i nominate you, the GP surgery asks"),
+    ("GP_INTEGRATION", "our GP surgery wants one more form before they nominate anyone"),
     ("GP_INTEGRATION", "script not received and i am stuck in the middle"),
     ("GP_INTEGRATION", "the doctor and you disagree"),
-    ("CUSTOMER_SERVICE_RESPONSIVENESS", "this is the third time and still no reply"),
+    ("CUSTOMER_SERVICE_RESPONSIVENESS", "post, fax, pigeon: still no reply, and the third time i wrote in capitals"),
     ("CUSTOMER_SERVICE_RESPONSIVENESS", "i have been on hold for an hour, going round in circles"),
     ("CUSTOMER_SERVICE_RESPONSIVENESS", "let me speak to a manager"),
     ("CUSTOMER_SERVICE_RESPONSIVENESS", "nobody answers"),
@@ -63,7 +63,7 @@ PHRASES = (
 # habits each.
 WRAPPERS = {
     "phone": (
-        ("Yeah hi um I'm calling, ", " you know, ", " yeah um yeah yeah"),
+        ("Uh hi this line crackles, ", " like, ", " ah yeah yeah yeah"),
         ("Hello there yeah ", " er sort of like ", " hmm"),
         ("So I mean ", " uh. ", " kind of"),
     ),
