@@ -13,7 +13,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.demo_contacts import contacts_from_documents
@@ -21,7 +21,7 @@ from checks.oracle import statements
 from earshot import constants as C
 from earshot.functions import channels
 from earshot.operators import classify, clean, embed, evaluate, knn, sentiment, similar, topics
-from earshot.operators.hold import hold, shared_folder
+from earshot.operators.hold import shared_folder
 from earshot.session import prepare_session
 from earshot.sources.contacts import CLEANED_CONTACT, read_contacts, write_contacts
 
@@ -256,19 +256,9 @@ def topic_alignment(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def topic_fit(spark: SparkSession, sf: str) -> DataFrame:
-    """What holds of any fit: every contact has a topic, topics are named by
-    size, none is too small, and there are no more than asked for."""
+    """The fitted topics, as many as the contacts show, against the intents."""
     vectors = embed.embed_hashing(_cleaned(spark, sf)).select("contact_id", "intent", "embedding")
-    fitted = topics.fit_topics(vectors, min_topic_size=5, nr_topics=8)
-    sizes = hold(fitted.groupBy("topic").agg(F.count("*").alias("n")))
-    largest_first = Window.orderBy("topic")  # nine rows at most
-    kept = sizes.where("topic >= 0").withColumn("before", F.lag("n").over(largest_first))
-    facts = kept.agg(
-        (F.count("*") <= 8).alias("within_wanted"), (F.max("topic") + 1 == F.count("*")).alias("ids_contiguous"),
-        F.bool_and(F.coalesce(F.col("before") >= F.col("n"), F.lit(True))).alias("largest_first"),
-        (F.min("n") >= 5).alias("large_enough"),
-    )
-    return facts.crossJoin(sizes.agg(F.sum("n").alias("n_contacts")))
+    return topics.crosstab(topics.fit_topics(vectors, min_topic_size=5))
 
 
 def jsonl_roundtrip(spark: SparkSession, sf: str) -> DataFrame:

@@ -369,8 +369,6 @@ SELECT topic, rank, term, round(weight, 6) AS weight FROM top_words""",
         + ", count(*) FILTER (intent IS NULL) AS unknown"
         + f", count(*) FILTER (NOT list_contains({lits(C.INTENTS)}, intent)) AS other"
         + " FROM topics GROUP BY topic",
-        "topic_fit": """SELECT true AS within_wanted, true AS ids_contiguous, true AS largest_first,
-  true AS large_enough, count(*) AS n_contacts FROM documents""",
         "jsonl_roundtrip": f"""WITH {cleaned} SELECT CAST(contact_id AS VARCHAR) AS contact_id, channel, intent,
   NULL::BOOLEAN AS vulnerability_flag, NULL::BOOLEAN AS urgency_flag, NULL::VARCHAR AS customer_placeholder,
   text, cleaned_text FROM cleaned""",

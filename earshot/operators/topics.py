@@ -1,8 +1,9 @@
 """Unsupervised topics: fitting, describing, comparing with intents.
 
-Fitting clusters the embeddings with Spark's k-means.  It keeps the contract
-of density clustering (dense topics, small groups as outliers, optional merge
-to a wished number), not its clusters.  Everything after fitting takes any
+Fitting splits the embeddings into as many clusters as the data show
+(``splitting``), or into a given number with Spark's k-means.  It keeps the
+contract of density clustering (dense topics, small groups as outliers, optional
+merge to a wished number), not its clusters.  Everything after fitting takes any
 table with a ``topic`` column.
 """
 
@@ -22,9 +23,8 @@ from earshot.functions import text as X
 from earshot.operators.embed import embed_hashing
 from earshot.operators.hold import hold, small_side
 from earshot.operators.similar import RANK_DECIMALS
+from earshot.operators.splitting import cluster_of, find_centres
 
-# Clusters that are fitted where the caller names no bound and wants no more.
-MAX_TOPICS = 64
 OTHER_INTENT = "OTHER"
 # Rows less like their centre (cosine) than this belong to no topic.
 MIN_SIMILARITY = 0.1
@@ -66,36 +66,34 @@ def fit_topics(
 ) -> DataFrame:
     """Add ``topic``: 0 is the largest, -1 an outlier.
 
-    At most ``max_topics`` clusters are fitted, and no more than could have
-    ``min_topic_size`` rows each; without it, MAX_TOPICS or ``nr_topics``,
-    whichever is more.  A row is an outlier when its cosine with its
+    Without ``max_topics`` the number of clusters follows the data.  With it, as
+    many are fitted, but no more than could have ``min_topic_size`` rows each.
+    In either case the most similar ones merge down to ``nr_topics``.  A row is an outlier when its cosine with its
     cluster's centre is below ``min_similarity``, whatever the size of the
     table, or when fewer than ``min_topic_size`` rows are left in its cluster.
 
     The rows are read several times, so they are held; pass only the columns
     needed afterwards.
     """
-    if max_topics is None:
-        max_topics = max(MAX_TOPICS, nr_topics or 0)
-    if max_topics < 1:
+    if max_topics is not None and max_topics < 1:
         raise ValueError("max_topics must be at least 1")
     contacts = hold(contacts)
     rows = contacts.count()
     if rows == 0:
         raise ValueError("fit_topics() needs at least one contact")
-    wanted = min(max_topics, max(1, rows // max(1, min_topic_size)))
-    vectors = contacts.withColumn("_features", array_to_vector(vector_col))
-    # The row solver copes with fewer distinct vectors than clusters.
-    model = KMeans(
-        k=max(2, wanted), seed=seed, solver="row", featuresCol="_features", predictionCol="_cluster"
-    )
-    fitted = model.fit(vectors.select("_features"))
-    centres = np.stack(fitted.clusterCenters())
+    if max_topics is None:
+        centres = find_centres(contacts, vector_col, seed)
+    else:
+        wanted = min(max_topics, max(1, rows // max(1, min_topic_size)))
+        vectors = contacts.select(array_to_vector(vector_col).alias("_features"))
+        # The row solver copes with fewer distinct vectors than clusters.
+        model = KMeans(k=max(2, wanted), seed=seed, solver="row", featuresCol="_features")
+        centres = np.stack(model.fit(vectors).clusterCenters())
     table = [(i, [float(x) for x in c], float(np.linalg.norm(c))) for i, c in enumerate(centres)]
     known = contacts.sparkSession.createDataFrame(table, "_cluster int, _centre array<double>, _length double")
     near = _cosine(vector_col) >= min_similarity
-    assigned = fitted.transform(vectors).join(small_side(known), "_cluster").withColumn("_near", near)
-    assigned = assigned.drop("_features", "_centre", "_length")
+    placed = contacts.withColumn("_cluster", cluster_of(vector_col, centres))
+    assigned = hold(placed.join(small_side(known), "_cluster").withColumn("_near", near).drop("_centre", "_length"))
     counted = assigned.where("_near").groupBy("_cluster").count().collect()  # a row for each cluster
     sizes = np.zeros(len(centres), dtype=np.int64)
     for row in counted:

@@ -30,8 +30,12 @@ def test_query_equals_sql(spark, sql, name):
     assert compare(spark, sql, name, SF) == ""
 
 
+# Tested on planted data instead: splitting and quantising are iterative.
+WITHOUT_SQL = {"topic_fit", "topk_lists", "topk_lists_recall"}
+
+
 def test_every_query_has_sql():
-    assert set(OWN) <= set(entry.oracle_sql())
+    assert set(OWN) - WITHOUT_SQL <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
