@@ -20,7 +20,7 @@ from checks.demo_contacts import contacts_from_documents
 from checks.oracle import statements
 from earshot import constants as C
 from earshot.functions import channels
-from earshot.operators import classify, clean, embed, evaluate, knn, sentiment, similar, topics
+from earshot.operators import classify, clean, embed, evaluate, knn, lists, sentiment, similar, topics
 from earshot.operators.hold import shared_folder
 from earshot.session import prepare_session
 from earshot.sources.contacts import CLEANED_CONTACT, read_contacts, write_contacts
@@ -165,6 +165,24 @@ def topk_similar_cells(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(found, "similarity")
 
 
+def _searched_lists(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    vectors = _given_vectors(spark, sf)
+    index = lists.build_lists(vectors, id_col="vec_id")
+    probes = lists.probes_for(index, vectors, 5, id_col="vec_id")
+    return vectors, lists.search_lists(index, vectors, 5, probes, id_col="vec_id")
+
+
+def topk_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``topk_similar``, but of the lists that a query probes."""
+    return _rounded(_searched_lists(spark, sf)[1], "similarity")
+
+
+def topk_lists_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """How much of the exact result the lists give."""
+    vectors, found = _searched_lists(spark, sf)
+    return lists.measure_recall(found, similar.top_k_similar(vectors, vectors, 5, id_col="vec_id"))
+
+
 def topk_per_channel(spark: SparkSession, sf: str) -> DataFrame:
     contacts = read_demo_contacts(spark, sf)
     return _rounded(evaluate.held_out_neighbours(contacts, 3), "similarity")
@@ -284,7 +302,7 @@ def queries() -> dict[str, Query]:
         classify_min_score, classify_confidence, rule_eval, rule_eval_by_channel,
         channel_distribution, intent_distribution, preview_per_channel,
         holdout_per_channel, embed_hashing, topk_similar, topk_similar_cells,
-        topk_per_channel, knn_predict, knn_eval, disagreements, train_test_split,
+        topk_lists, topk_lists_recall, topk_per_channel, knn_predict, knn_eval, disagreements, train_test_split,
         sentiment_score, sentiment_distribution, sentiment_by_intent,
         sentiment_by_channel, top_negative, topic_info, topic_top_words,
         topic_assignments, topic_crosstab, topic_crosstab_dense, topic_alignment,
