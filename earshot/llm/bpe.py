@@ -4,9 +4,12 @@ Two tiers.  A pre-token that is a vocabulary entry is resolved by one look into
 a minimal perfect hash of the vocabulary (hash and displace: a displacement per
 bucket sends every key to a slot of its own), with the entry's bytes compared.
 The others are merged pair by pair: a heap of candidate pairs over a linked
-list of byte pieces.  Both run once for each distinct pre-token of a worker;
-memos of bounded size keep the ids of pre-tokens, and of the pieces of text
-between spaces.
+list of byte pieces.
+
+Texts are handled in chunks.  A chunk's distinct pieces between spaces are split
+into pre-tokens once, its distinct pre-tokens are looked up once, and the ids of
+texts are gathered from theirs.  A memo of bounded size keeps the ids of
+pre-tokens from chunk to chunk of a worker.
 """
 
 from __future__ import annotations
@@ -20,12 +23,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MEMO_ENTRIES = 300_000
+from earshot.llm.tokens import chunks, gathered, offsets
+
+MEMO_ENTRIES = 400_000
+# Bytes of text whose distinct pieces are encoded together.
+CHUNK_BYTES = 8 << 20
 # Texts whose ids are handed on together.
 TEXTS_TOGETHER = 256
 _MASK = (1 << 64) - 1
@@ -34,6 +42,7 @@ _MASK = (1 << 64) - 1
 _CROSSED = re.compile(r"\s (?!\S)")
 
 _PACKS = [struct.Struct(f"<{n}I").pack for n in range(32)]
+_ID = np.dtype("<u4")
 
 
 class MinimalPerfectHash:
@@ -108,6 +117,15 @@ class _Memo:
         return value
 
 
+def _by_rank(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Length and start of each rank's bytes, and the bytes in a row."""
+    lengths = np.zeros(max(ranks.values(), default=-1) + 1, dtype=np.int64)
+    for key, rank in ranks.items():
+        lengths[rank] = len(key)
+    flat = np.frombuffer(b"".join(sorted(ranks, key=ranks.__getitem__)), dtype=np.uint8)
+    return lengths, np.cumsum(lengths) - lengths, flat
+
+
 class Codec:
     """Ranks of byte strings, and the pattern that splits text."""
 
@@ -119,18 +137,10 @@ class Codec:
             slot = self.table.slot(key)
             self.keys[slot], self.ids[slot] = key, rank
         self.ranks = ranks
-        size = max(ranks.values(), default=-1) + 1
-        self.lengths = np.zeros(size, dtype=np.int64)
-        for key, rank in ranks.items():
-            self.lengths[rank] = len(key)
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        in_order = sorted(ranks, key=ranks.__getitem__)
-        self.flat = np.frombuffer(b"".join(in_order), dtype=np.uint8)
+        self.lengths, self.starts, self.flat = _by_rank(ranks)
         self.split = regex.compile(pattern).findall
         self.by_space = pattern_begins_at_spaces(pattern)
         self.token_ids = _Memo(self._encoded)
-        # Pieces come without the space that they begin with.
-        self.piece_ids = _Memo(lambda piece: self._of_part(" " + piece))
 
     def whole(self, token: bytes) -> int | None:
         slot = self.table.slot(token)
@@ -174,27 +184,54 @@ class Codec:
         ids = (one,) if one is not None else self.merged(raw)
         return _PACKS[len(ids)](*ids) if len(ids) < len(_PACKS) else struct.pack(f"<{len(ids)}I", *ids)
 
-    def _of_part(self, part: str) -> bytes:
-        """Ids of a part of a text that pre-tokens do not cross."""
-        return b"".join(map(self.token_ids, self.split(part)))
-
-    def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, dtype="<u4")
-        if not self.by_space or _CROSSED.search(text):
-            return np.frombuffer(self._of_part(text), dtype="<u4")
-        first, *rest = text.split(" ")
-        young = self.piece_ids.young.get
-        parts = [young(piece) or self.piece_ids(piece) for piece in rest]
-        return np.frombuffer(self._of_part(first) + b"".join(parts), dtype="<u4")
+    def _places(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(distinct parts, part at each place, where each text's places begin):
+        parts that no pre-token crosses, in a row they are the texts."""
+        given = texts.to_pylist()
+        plain = np.array([self.by_space and not _CROSSED.search(t) for t in given], dtype=bool)
+        pieces = pc.split_pattern(texts.filter(pa.array(plain)), " ")
+        counts = np.ones(len(given), dtype=np.int64)
+        counts[plain] = pc.list_value_length(pieces).to_numpy(zero_copy_only=False)
+        starts = offsets(counts)
+        coded = pieces.flatten().dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        words = coded.dictionary.to_pylist()
+        # Of a text, all pieces but the first begin with a space.
+        first = np.zeros(len(codes), dtype=bool)
+        first[offsets(counts[plain])[:-1]] = True
+        later_words, later = np.unique(codes[~first], return_inverse=True)
+        first_words, firsts = np.unique(codes[first], return_inverse=True)
+        parts = [" " + words[k] for k in later_words.tolist()]
+        of_plain = np.empty(len(codes), dtype=np.int64)
+        of_plain[~first], of_plain[first] = later, firsts + len(parts)
+        parts += [words[k] for k in first_words.tolist()]
+        of = np.empty(starts[-1], dtype=np.int64)
+        of[np.repeat(plain, counts)] = of_plain
+        of[starts[:-1][~plain]] = np.arange(len(given) - int(plain.sum())) + len(parts)
+        parts += [t for t, ok in zip(given, plain) if not ok]
+        return parts, of, starts
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text's begin."""
+        parts, of, starts = self._places(texts)
+        number: dict[str, int] = {}
+        n_tokens, tokens = [], []
+        for part in parts:
+            found = self.split(part)
+            n_tokens.append(len(found))
+            tokens += [number.setdefault(token, len(number)) for token in found]
+        packed = [self.token_ids(token) for token in number]
+        ids = np.frombuffer(b"".join(packed), dtype=_ID)
+        sizes = np.array([len(p) for p in packed], dtype=np.int64) // _ID.itemsize
+        # From pre-tokens to parts, from parts to texts.
+        of_part = np.array(tokens, dtype=np.int64)
+        ids = ids[gathered(offsets(sizes)[of_part], sizes[of_part])]
+        sizes = np.diff(offsets(sizes[of_part])[offsets(np.array(n_tokens, dtype=np.int64))])
+        ids = ids[gathered(offsets(sizes)[of], sizes[of])]
+        return ids, offsets(sizes[of])[starts]
 
     def decode(self, ids: np.ndarray) -> bytes:
-        lengths = self.lengths[ids]
-        ends = np.cumsum(lengths)
-        if not len(ends):
-            return b""
-        shift = self.starts[ids] - (ends - lengths)
-        return self.flat[np.repeat(shift, lengths) + np.arange(ends[-1])].tobytes()
+        return self.flat[gathered(self.starts[ids], self.lengths[ids])].tobytes()
 
 
 def pattern_begins_at_spaces(pattern: str) -> bool:
@@ -241,22 +278,25 @@ def encode_documents(
     shared = spark.sparkContext.broadcast((path, ranks, pattern, MinimalPerfectHash(list(ranks))))
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]
 
+    def rows(batch: pa.RecordBatch, codec: Codec) -> Iterator[pa.RecordBatch]:
+        texts = batch.column(1).fill_null("")
+        ids, starts = codec.encode(texts)
+        for at in range(0, batch.num_rows, TEXTS_TOGETHER):
+            bounds = starts[at : at + TEXTS_TOGETHER + 1]
+            own = [ids[s:e] for s, e in zip(bounds[:-1], bounds[1:])]
+            digests = [hashlib.sha256(x.tobytes()).hexdigest() for x in own]
+            decoded = [hashlib.sha256(codec.decode(x)).hexdigest() for x in own]
+            columns = [pa.array(np.diff(bounds)), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
+            if with_ids:
+                listed = pa.array(ids[bounds[0] : bounds[-1]].astype(np.int32))
+                columns.append(pa.ListArray.from_arrays(pa.array((bounds - bounds[0]).astype(np.int32)), listed))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, TEXTS_TOGETHER), *columns], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(*shared.value)
-        parts = (b.slice(at, TEXTS_TOGETHER) for b in batches for at in range(0, b.num_rows, TEXTS_TOGETHER))
-        for batch in parts:
-            counts, digests, decoded, listed = [], [], [], []
-            for text in batch.column(1):
-                ids = codec.encode(text.as_py() or "")
-                counts.append(len(ids))
-                digests.append(hashlib.sha256(ids.tobytes()).hexdigest())
-                decoded.append(hashlib.sha256(codec.decode(ids)).hexdigest())
-                if with_ids:
-                    listed.append(ids.astype(np.int32))
-            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
-            if with_ids:
-                columns.append(pa.array(listed, pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays(columns, names)
+        for batch in batches:
+            for first, end in chunks(batch.column(1), CHUNK_BYTES):
+                yield from rows(batch.slice(first, end - first), codec)
 
     given = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     id_type = given.schema["doc_id"].dataType.simpleString()
@@ -266,13 +306,17 @@ def encode_documents(
 
 def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(doc_id, text) from lists of ids; bytes that are not UTF-8 are replaced."""
-    spark = encoded.sparkSession
-    shared = spark.sparkContext.broadcast({rank: key for key, rank in read_ranks(spark, path).items()})
+    shared = encoded.sparkSession.sparkContext.broadcast(_by_rank(read_ranks(encoded.sparkSession, path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bytes_of = shared.value
+        lengths, starts, flat = shared.value
         for batch in batches:
-            texts = [b"".join(bytes_of[i] for i in ids.as_py() or []).decode(errors="replace") for ids in batch.column(1)]
+            listed = batch.column(1)
+            ids = listed.flatten().to_numpy(zero_copy_only=False)
+            data = flat[gathered(starts[ids], lengths[ids])].tobytes()
+            sizes = pc.fill_null(pc.list_value_length(listed), 0).to_numpy(zero_copy_only=False)
+            bounds = offsets(lengths[ids])[offsets(sizes)].tolist()
+            texts = [data[s:e].decode(errors="replace") for s, e in zip(bounds[:-1], bounds[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     given = encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids"))

@@ -13,6 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Bytes of text handled in one go; a longer text is handled alone.
 SLICE_BYTES = 1 << 19
@@ -140,3 +141,28 @@ def runs(found: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     for k in range(width):
         total = total * np.uint64(0xA24BAED4963EE407) + np.where(k < length, padded[start + k], 0).astype(np.uint64)
     return mix(total), first
+
+
+def chunks(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """(first row, end) of runs of about ``most`` bytes of text; a longer text
+    is alone."""
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    until = offsets(lengths)
+    first = 0
+    while first < len(column):
+        end = int(np.searchsorted(until, until[first] + most, "right")) - 1
+        end = min(max(end, first + 1), len(column))
+        yield first, end
+        first = end
+
+
+def offsets(sizes: np.ndarray) -> np.ndarray:
+    """Where runs of these sizes begin, and the end."""
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+
+def gathered(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places ``starts[k]`` to ``starts[k] + sizes[k]`` for each k, in a row."""
+    ends = np.cumsum(sizes)
+    n = int(ends[-1]) if len(ends) else 0
+    return np.arange(n) + np.repeat(starts - (ends - sizes), sizes)

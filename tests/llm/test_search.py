@@ -6,6 +6,7 @@ import re
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -257,7 +258,9 @@ def known():
     return tiktoken.Encoding("known", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def test_encoding(spark, known):
+@pytest.mark.parametrize("chunk", [bpe.CHUNK_BYTES, 2000])
+def test_encoding(spark, known, monkeypatch, chunk):
+    monkeypatch.setattr(bpe, "CHUNK_BYTES", chunk)
     choose = random.Random(1)
     pieces = ["a", "ab", "'s", "'ll", " ", "  ", "\n", "\t", "\r\n", "\x1c", "\xa0", "²", "½", "é", "ÿ", "漢", "🙂", "9", "12", "!", "?_", "<|endoftext|>", "ſ", "\u3000"]
     rows = [(20 + k, "".join(choose.choice(pieces) for _ in range(choose.randrange(20)))) for k in range(3000)]
@@ -275,12 +278,25 @@ def test_encoding(spark, known):
             assert row.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_small_memo(known, monkeypatch):
+    """Ids do not depend on what the memo still holds."""
+    monkeypatch.setattr(bpe, "MEMO_ENTRIES", 4)
+    codec = bpe.Codec(bpe.read_ranks(None, PATH), public_tokenizers.PATTERN)
+    texts = ["one two  three\n", "", "two\xa0 one", " three three two", "one"] * 3
+    ids, starts = codec.encode(pa.array(texts))
+    assert [ids[s:e].tolist() for s, e in zip(starts[:-1], starts[1:])] == [known.encode_ordinary(t) for t in texts]
+    ids, starts = codec.encode(pa.array([], pa.string()))
+    assert len(ids) == 0 and starts.tolist() == [0]
+
+
 def test_decoding(spark):
     texts = ["plain text", "", "é 漢字 🙂", "a\n\n  b"]
     given = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     encoded = bpe.encode_documents(given, PATH, public_tokenizers.PATTERN, with_ids=True)
     assert [r.text for r in bpe.decode_documents(encoded, PATH).orderBy("doc_id").collect()] == texts
     assert bpe.encode_documents(empty_table(spark), PATH, public_tokenizers.PATTERN).collect() == []
+    some = spark.createDataFrame([(1, [64, 65]), (2, None), (3, []), (None, [66])], "doc_id long, ids array<int>")
+    assert [r.text for r in bpe.decode_documents(some, PATH).orderBy("doc_id").collect()] == ["c", "ab", "", ""]
 
 
 def test_perfect_hash():
