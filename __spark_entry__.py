@@ -16,11 +16,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.demo_contacts import contacts_from_documents
+from checks.demo_contacts import contacts_from_documents, with_demo_time
 from checks.oracle import statements
 from earshot import constants as C
 from earshot.functions import channels
-from earshot.operators import classify, clean, embed, evaluate, knn, lists, sentiment, similar, topics
+from earshot.operators import classify, clean, embed, evaluate, journeys, knn, lists, sentiment, similar, spikes, topics
 from earshot.operators.hold import shared_folder
 from earshot.session import prepare_session
 from earshot.sources.contacts import CLEANED_CONTACT, read_contacts, write_contacts
@@ -35,6 +35,10 @@ except ImportError as error:
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Seconds without an event that end a session; seconds within which a contact
+# counts as repeated, or a visit as not deflected.
+SESSION_GAP, CONTACT_WINDOW = 6 * 3600, 2 * 86_400
+
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 
 
@@ -244,6 +248,40 @@ def top_negative(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(sentiment.top_negative(_scored(spark, sf)), "sentiment_confidence")
 
 
+def negative_spikes(spark: SparkSession, sf: str) -> DataFrame:
+    """Weeks, and those in which an intent turned negative."""
+    contacts = with_demo_time(_scored(spark, sf))
+    found = _rounded(spikes.find_spikes(spikes.weekly_counts(contacts)), "share", "usual", "z")
+    return found.withColumn("week", F.date_format("week", "yyyy-MM-dd"))
+
+
+def _events(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/events.parquet")
+
+
+def contact_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """Sessions of each user, parted by six hours without an event."""
+    found = journeys.sessions(_events(spark, sf), SESSION_GAP)
+    return found.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in ("started", "ended")})
+
+
+def next_contact(spark: SparkSession, sf: str) -> DataFrame:
+    """The user's next error behind each event, within two days."""
+    found = journeys.next_event(_events(spark, sf), F.col("event_type") == "error", CONTACT_WINDOW)
+    return found.select("event_id", "next_id")
+
+
+def repeat_contact(spark: SparkSession, sf: str) -> DataFrame:
+    found = journeys.repeat_contacts(_events(spark, sf), F.col("event_type") == "error", CONTACT_WINDOW)
+    return _rounded(found, "rate")
+
+
+def contact_deflection(spark: SparkSession, sf: str) -> DataFrame:
+    served = F.col("event_type").isin("view", "click")
+    found = journeys.deflection(_events(spark, sf), served, F.col("event_type") == "error", CONTACT_WINDOW)
+    return _rounded(found, "rate")
+
+
 def topic_info(spark: SparkSession, sf: str) -> DataFrame:
     info = topics.topic_info(_given_topics(spark, sf), n_words=6)
     ids = F.transform("representative_ids", lambda i: i.cast("string"))
@@ -304,7 +342,8 @@ def queries() -> dict[str, Query]:
         holdout_per_channel, embed_hashing, topk_similar, topk_similar_cells,
         topk_lists, topk_lists_recall, topk_per_channel, knn_predict, knn_eval, disagreements, train_test_split,
         sentiment_score, sentiment_distribution, sentiment_by_intent,
-        sentiment_by_channel, top_negative, topic_info, topic_top_words,
+        sentiment_by_channel, top_negative, negative_spikes, contact_sessions,
+        next_contact, repeat_contact, contact_deflection, topic_info, topic_top_words,
         topic_assignments, topic_crosstab, topic_crosstab_dense, topic_alignment,
         topic_fit, jsonl_roundtrip,
     ):

@@ -84,6 +84,8 @@ WRAPPERS = {
     ),
 }
 
+DEMO_START, DEMO_DAYS = "2024-01-01 00:00:00", 182
+
 
 def _pick(options, index: Column) -> Column:
     return F.element_at(F.array(*(F.lit(o) for o in options)), (index + 1).cast("int"))
@@ -118,6 +120,13 @@ def contacts_from_documents(documents: DataFrame) -> DataFrame:
     )
 
 
+def with_demo_time(contacts: DataFrame) -> DataFrame:
+    """``event_time`` in the 26 weeks from 2024, by the id; every 17th has none."""
+    minutes = (F.col("contact_id") * 7919) % (DEMO_DAYS * 1440)
+    at = F.timestamp_add("MINUTE", minutes.cast("int"), F.lit(DEMO_START).cast("timestamp"))
+    return contacts.withColumn("event_time", F.when(F.col("contact_id") % 17 != 5, at))
+
+
 def read_demo_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return contacts_from_documents(documents)

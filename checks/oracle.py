@@ -263,6 +263,42 @@ def top_words_cte(n: int) -> str:
 CROSSTAB = "crosstab AS (SELECT topic, coalesce(intent, 'UNKNOWN') AS intent, count(*) AS n FROM topics GROUP BY ALL)"
 
 
+def spikes_sql() -> str:
+    """Weeks against the up to eight before them, by their plain median."""
+    minutes = f"(contact_id * 7919) % ({D.DEMO_DAYS} * 1440)"
+    return f"""WITH {sentiment_cte()}, timed AS (
+  SELECT coalesce(intent, 'UNKNOWN') AS intent, sentiment_label,
+    date_trunc('week', TIMESTAMP {lit(D.DEMO_START)} + to_minutes({minutes})) AS week FROM sentiment WHERE contact_id % 17 <> 5
+), weeks AS (
+  SELECT week, intent, count(*) AS n, count(*) FILTER (sentiment_label = 'negative') AS negative FROM timed GROUP BY ALL
+), before AS (
+  SELECT *, negative / n AS share, list(negative / n) OVER (PARTITION BY intent ORDER BY week ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING) AS earlier
+  FROM weeks
+), middles AS (
+  SELECT *, CASE WHEN len(earlier) >= 3 THEN list_median(earlier) END AS usual FROM before
+), scored AS (
+  SELECT *, (share - usual) / greatest(1.4826::DOUBLE * list_median(list_transform(earlier, lambda s: abs(s - usual))), sqrt(usual * (1 - usual) / n), 0.01::DOUBLE) AS z
+  FROM middles
+)
+SELECT strftime(week, '%Y-%m-%d') AS week, intent, n, negative, round(share, 6) AS share, round(usual, 6) AS usual,
+  round(z, 6) AS z, coalesce(z >= 3 AND n >= 5, false) AS spike FROM scored"""
+
+
+NEXT_CONTACT = """placed AS (
+  SELECT *, first_value(CASE WHEN event_type = 'error' THEN {'id': event_id, 'at': ts} END IGNORE NULLS) OVER (
+    PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later
+  FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL
+), nexts AS (
+  SELECT * EXCLUDE (later), CASE WHEN later.at <= ts + INTERVAL 2 DAY THEN later.id END AS next_id FROM placed
+)"""
+SESSIONS = """SELECT user_id, session, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS started,
+  strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS ended, count(*) AS n
+FROM (SELECT *, sum(begins) OVER (PARTITION BY user_id ORDER BY ts, event_id)::BIGINT AS session FROM (
+  SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS begins
+  FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL))
+GROUP BY ALL"""
+
+
 def labels_sql() -> str:
     return ", ".join(
         f"({i}, {lit(label)})" for i, label in enumerate(C.SENTIMENT_LABELS)
@@ -347,6 +383,14 @@ FROM (VALUES {labels_sql()}) l(ordinal, label) LEFT JOIN sentiment ON sentiment_
   round(sentiment_confidence, 6) AS sentiment_confidence, {cut('cleaned_text', 110, '...')} AS preview
 FROM sentiment WHERE sentiment_label = 'negative'
 ORDER BY round(sentiment.sentiment_confidence, 9) DESC, contact_id LIMIT 3""",
+        "negative_spikes": spikes_sql(),
+        "contact_sessions": SESSIONS,
+        "next_contact": f"WITH {NEXT_CONTACT} SELECT event_id, next_id FROM nexts",
+        "repeat_contact": f"""WITH {NEXT_CONTACT} SELECT event_type, count(*) AS contacts, count(next_id) AS repeated,
+  round(count(next_id) / count(*), 6) AS rate FROM nexts WHERE event_type = 'error' GROUP BY ALL""",
+        "contact_deflection": f"""WITH {NEXT_CONTACT} SELECT event_type, count(*) AS visits,
+  count(*) FILTER (next_id IS NULL) AS deflected, round(count(*) FILTER (next_id IS NULL) / count(*), 6) AS rate
+FROM nexts WHERE event_type IN ('view', 'click') GROUP BY ALL""",
         "topic_info": f"""WITH {topics}, {top_words_cte(6)}, dims AS (
   SELECT topic, i, avg(v[i]) AS m FROM topics, (SELECT unnest(range(1, {DIM + 1})) AS i) GROUP BY ALL
 ), centres AS (SELECT topic, list(m ORDER BY i) AS m FROM dims GROUP BY topic
