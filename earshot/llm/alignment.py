@@ -26,6 +26,7 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,19 +37,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.llm.tables import keep, release
+from earshot.llm.tokens import chunks, gathered, offsets
 
 # Bytes of text whose distinct pieces are aligned together, and of the slices in
 # which that, and the links of documents, are handled.
 CHUNK_BYTES = 8 << 20
 SLICE_BYTES = 1 << 19
+# Pieces that go through a tokenizer in a row.
+IN_A_ROW = 64
 # Pairs summed up in a task before they are handed on.
 BUFFERED = 2_000_000
 # Pairs in the broadcast table at most: 17 bytes each.
 FREQUENT_PAIRS = 500_000
 
 _LATER_SPACE = re.compile(r"(?<=\S) (?!\Z)")
-# Texts where some space is not one to cut at.
-_OTHER_SPACE = re.compile(r"(?:\A|\s) | \Z")
+_BEHIND_WHITE = re.compile(r"[^\S ] ")
 
 
 @dataclass
@@ -176,31 +179,56 @@ class Aligner:
 
     def pieces(self, text: str) -> list[str]:
         """Pieces of the text with a space in front, each without its first space."""
-        if not self.cuts:
-            return [text]
-        return _LATER_SPACE.split(text) if _OTHER_SPACE.search(text) else text.split(" ")
-
-    def _tokens(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        return [self.first.encode_ordinary(" " + t) for t in texts], self.second.encode(texts, num_threads=1)
+        if not text:
+            return []
+        return _LATER_SPACE.split(text) if self.cuts else [text]
+
+    def plain(self, text: str) -> bool:
+        """Whether the pieces are what lies between spaces."""
+        odd = not text or text[0] == " " or text[-1] == " " or "  " in text or _BEHIND_WHITE.search(text)
+        return self.cuts and not odd
+
+    def _together(self, texts: list[str], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """Ids and their numbers in each text, of texts that no token crosses
+        when they stand in a row; None where bytes differ or texts may be crossed."""
+        if not self.cuts or any(t[-1:].isspace() or not t for t in texts):
+            return None
+        rows = [" ".join(texts[at : at + IN_A_ROW]) for at in range(0, len(texts), IN_A_ROW)]
+        encoded = [self.first.encode_ordinary(" " + r) for r in rows], self.second.encode(rows, num_threads=1)
+        whole = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        bounds = offsets(np.array([len(r) for r in raw], dtype=np.int64))
+        found = []
+        for vocabulary, lists in zip((self.a, self.b), encoded):
+            ids = np.array(list(chain.from_iterable(lists)), dtype=np.int64)
+            if not _equal(whole, vocabulary, ids):
+                return None
+            ends = offsets(vocabulary.lengths[ids])
+            place = np.searchsorted(ends, bounds)
+            if not np.array_equal(ends[place], bounds):
+                return None
+            found += [ids, np.diff(place)]
+        return tuple(found)
+
+    def _each(self, texts: list[str], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The same, text by text, and whether each has tokens."""
+        lists = zip(raw, [self.first.encode_ordinary(" " + t) for t in texts], self.second.encode(texts, num_threads=1))
+        a_lists, b_lists, valid = [], [], []
+        for data, a, b in lists:
+            data = np.frombuffer(data, dtype=np.uint8)
+            a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+            valid.append(_equal(data, self.a, a) and _equal(data, self.b, b))
+            a_lists.append(a if valid[-1] else a[:0])
+            b_lists.append(b if valid[-1] else b[:0])
+        return *_joined(a_lists), *_joined(b_lists), np.array(valid, dtype=bool)
 
     def align(self, texts: list[str]) -> Aligned:
-        a_lists, b_lists = self._tokens(texts)
         raw = [(" " + t).encode() for t in texts]
         valid = np.ones(len(texts), dtype=bool)
-        a_ids, a_counts = _joined(a_lists)
-        b_ids, b_counts = _joined(b_lists)
-        whole = np.frombuffer(b"".join(raw), dtype=np.uint8)
-        if not (_equal(whole, self.a, a_ids) and _equal(whole, self.b, b_ids)):
-            for k, data in enumerate(raw):
-                data = np.frombuffer(data, dtype=np.uint8)
-                sides = ((self.a, a_lists[k]), (self.b, b_lists[k]))
-                valid[k] = all(_equal(data, v, np.array(ids, dtype=np.int64)) for v, ids in sides)
-            if not valid.all():
-                none: list[int] = []
-                kept = [(a, b, r) if ok else (none, none, b"") for a, b, r, ok in zip(a_lists, b_lists, raw, valid)]
-                a_ids, a_counts = _joined([k[0] for k in kept])
-                b_ids, b_counts = _joined([k[1] for k in kept])
-                raw = [k[2] for k in kept]
+        found = self._together(texts, raw)
+        if found is None:
+            *found, valid = self._each(texts, raw)
+            raw = [r if ok else b"" for r, ok in zip(raw, valid)]
+        a_ids, a_counts, b_ids, b_counts = found
         n = sum(map(len, raw))
         a_ends, b_ends = np.cumsum(self.a.lengths[a_ids]), np.cumsum(self.b.lengths[b_ids])
         a_starts = np.concatenate([[0], np.cumsum(a_counts)])
@@ -231,10 +259,9 @@ def pattern_cuts(pattern: str) -> bool:
     return all(part.startswith(("'", " ?[", r" ?\p", r"\s+")) for part in pattern.split("|"))
 
 
-def _joined(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def _joined(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     counts = np.array([len(x) for x in lists], dtype=np.int64)
-    flat = np.fromiter((i for x in lists for i in x), dtype=np.int64, count=int(counts.sum()))
-    return flat, counts
+    return np.concatenate([np.zeros(0, dtype=np.int64), *lists]), counts
 
 
 def _equal(data: np.ndarray, vocabulary: Vocabulary, ids: np.ndarray) -> bool:
@@ -267,17 +294,6 @@ def group_texts(found: Aligned) -> list[bytes]:
     return [data[s : max(s, e - 1)] for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
 
-def _offsets(counts: np.ndarray) -> np.ndarray:
-    return np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-
-
-def _gathered(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Places ``starts[k]`` to ``starts[k] + sizes[k]`` for each k, in a row."""
-    ends = np.cumsum(sizes)
-    n = int(ends[-1]) if len(ends) else 0
-    return np.arange(n) + np.repeat(starts - (ends - sizes), sizes)
-
-
 @dataclass
 class Chunk:
     """Documents as runs of distinct pieces, and the alignment of the pieces."""
@@ -292,42 +308,42 @@ class Chunk:
 
     def total(self, of_piece: np.ndarray) -> np.ndarray:
         """Sums over each document, 0 for one without tokens."""
-        running = _offsets(of_piece[self.of])
+        running = offsets(of_piece[self.of])
         return np.where(self.valid, running[self.starts[1:]] - running[self.starts[:-1]], 0)
 
 
-def _chunks(texts: pa.Array, aligner: Aligner) -> Iterator[tuple[int, int, Chunk]]:
-    """(first row, end, chunk) of runs of about CHUNK_BYTES of text."""
-    lengths = pc.fill_null(pc.binary_length(texts.cast(pa.large_string())), 0).to_numpy(zero_copy_only=False)
-    until = np.cumsum(lengths)
-    first = 0
-    while first < len(texts):
-        end = int(np.searchsorted(until, (until[first - 1] if first else 0) + CHUNK_BYTES, "right"))
-        end = min(max(end, first + 1), len(texts))
-        yield first, end, _chunk(texts.slice(first, end - first), aligner)
-        first = end
-
-
 def _chunk(texts: pa.Array, aligner: Aligner) -> Chunk:
-    number: dict[str, int] = {}
-    of: list[int] = []
-    starts = [0]
-    for text in texts:
-        text = text.as_py()
-        if text:
-            of.extend([number.setdefault(piece, len(number)) for piece in aligner.pieces(text)])
-        starts.append(len(of))
+    given = texts.fill_null("").to_pylist()
+    plain = np.array([aligner.plain(t) for t in given], dtype=bool)
+    between = pc.split_pattern(texts.filter(pa.array(plain)), " ")
+    other = [aligner.pieces(t) for t, ok in zip(given, plain) if not ok]
+    counts = np.zeros(len(given), dtype=np.int64)
+    counts[plain] = pc.list_value_length(between).to_numpy(zero_copy_only=False)
+    counts[~plain] = [len(x) for x in other]
+    others = pa.array([p for x in other for p in x], between.type.value_type)
+    coded = pa.concat_arrays([between.flatten(), others]).dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    of = np.empty(len(codes), dtype=np.int64)
+    is_plain = np.repeat(plain, counts)
+    n_plain = int(is_plain.sum())
+    of[is_plain], of[~is_plain] = codes[:n_plain], codes[n_plain:]
+    # Pieces that end in white space are encoded one by one, the rest in a row.
+    words = coded.dictionary.to_pylist()
+    alone = [k for k, w in enumerate(words) if not w or w[-1].isspace()]
+    order = np.ones(len(words), dtype=bool)
+    order[alone] = False
+    order = np.concatenate([np.flatnonzero(order), alone]).astype(np.int64)
+    place = np.empty(len(words), dtype=np.int64)
+    place[order] = np.arange(len(words))
     pieces, batch, size = [], [], 0
-    for piece in number:
-        batch.append(piece)
-        size += len(piece) + 1
-        if size >= SLICE_BYTES:
+    for k, number in enumerate(order.tolist()):
+        batch.append(words[number])
+        size += len(words[number]) + 1
+        if size >= SLICE_BYTES or k in (len(words) - len(alone) - 1, len(words) - 1):
             pieces.append(aligner.align(batch))
             batch, size = [], 0
-    if batch:
-        pieces.append(aligner.align(batch))
-    chunk = Chunk(pieces, np.array(of, dtype=np.int64), np.array(starts, dtype=np.int64), np.zeros(0, dtype=bool))
-    broken = _offsets(~chunk.sizes("valid").astype(bool)[chunk.of])
+    chunk = Chunk(pieces, place[of], offsets(counts), np.zeros(0, dtype=bool))
+    broken = offsets(~chunk.sizes("valid").astype(bool)[chunk.of])
     empty = chunk.starts[1:] == chunk.starts[:-1]
     chunk.valid = (broken[chunk.starts[1:]] == broken[chunk.starts[:-1]]) & ~empty
     return chunk
@@ -336,15 +352,15 @@ def _chunk(texts: pa.Array, aligner: Aligner) -> Chunk:
 def _document_pairs(chunk: Chunk) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(document, pair, links) with each pair once for a document, in slices."""
     sizes = chunk.sizes("n_links")
-    starts = _offsets(sizes)[:-1]
+    starts = offsets(sizes)[:-1]
     pairs = chunk.sizes("pairs")
-    running = _offsets(sizes[chunk.of])[chunk.starts]
+    running = offsets(sizes[chunk.of])[chunk.starts]
     first, n = 0, len(chunk.starts) - 1
     while first < n:
         end = int(np.searchsorted(running, running[first] + SLICE_BYTES, "right")) - 1
         end = min(max(end, first + 1), n)
         of = chunk.of[chunk.starts[first] : chunk.starts[end]]
-        found = pairs[_gathered(starts[of], sizes[of])]
+        found = pairs[gathered(starts[of], sizes[of])]
         document = np.repeat(np.arange(first, end), np.diff(running[first : end + 1]))
         kept = chunk.valid[document]
         order = (document[kept] << 44) | found[kept]
@@ -367,7 +383,8 @@ def _pair_counts(shared) -> callable:
         aligner = _aligner(*shared.value)
         pairs, counts, size = [], [], 0
         for batch in batches:
-            for _, _, chunk in _chunks(batch.column(0), aligner):
+            for first, end in chunks(batch.column(0), CHUNK_BYTES):
+                chunk = _chunk(batch.column(0).slice(first, end - first), aligner)
                 for _, found, _ in _document_pairs(chunk):
                     pairs.append(found)
                     counts.append(np.ones(len(found), dtype=np.int64))
@@ -393,8 +410,9 @@ def _digests(shared, frequent) -> callable:
         aligner = _aligner(*shared.value)
         known, count, best = frequent.value
         for batch in batches:
-            for first, end, chunk in _chunks(batch.column(1), aligner):
-                yield _digest_rows(batch.column(0).slice(first, end - first), chunk, known, count, best)
+            for first, end in chunks(batch.column(1), CHUNK_BYTES):
+                part = batch.slice(first, end - first)
+                yield _digest_rows(part.column(0), _chunk(part.column(1), aligner), known, count, best)
 
     return run
 
@@ -404,16 +422,16 @@ def _digest_rows(ids: pa.Array, chunk: Chunk, known: np.ndarray, count: np.ndarr
     place = np.minimum(np.searchsorted(known, pairs), max(len(known) - 1, 0))
     met = known[place] == pairs if len(known) else np.zeros(len(pairs), dtype=bool)
     sizes = chunk.sizes("n_links")
-    starts = _offsets(sizes)
-    of_piece = lambda values: np.diff(_offsets(values)[starts])
+    starts = offsets(sizes)
+    of_piece = lambda values: np.diff(offsets(values)[starts])
     sums = of_piece(np.where(met, count[place], 0)) if len(known) else np.zeros(len(sizes), dtype=np.int64)
     bests = of_piece(np.where(met, best[place], 0)) if len(known) else np.zeros(len(sizes), dtype=np.int64)
     # Links whose pair is not among the frequent ones.
     rare, n_rare = pairs[~met], of_piece(~met)
     places = np.diff(chunk.starts)
     of = chunk.of[np.repeat(chunk.valid, places)]
-    in_place = _offsets(n_rare[of])[_offsets(np.where(chunk.valid, places, 0))]
-    rare = rare[_gathered(_offsets(n_rare)[of], n_rare[of])]
+    in_place = offsets(n_rare[of])[offsets(np.where(chunk.valid, places, 0))]
+    rare = rare[gathered(offsets(n_rare)[of], n_rare[of])]
     listed = pa.ListArray.from_arrays(pa.array(in_place, pa.int32()), pa.array(rare, pa.int64()))
     texts = [t for p in chunk.pieces for t in group_texts(p)]
     digests = []
