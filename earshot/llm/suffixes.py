@@ -37,7 +37,7 @@ GRAM = 32
 # Runs of a key in one block.
 BLOCK_RUNS = 512
 # Bytes of runs sorted together.
-SORTED_BYTES = 1 << 20
+SORTED_BYTES = 1 << 19
 
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _PLACE = ["doc_id", "text_key"]
@@ -68,22 +68,23 @@ def runs_of(data: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> tup
     power, inverse = tokens._powers(n + 1)
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(tokens._BYTE_VALUES[data] * power[:n], out=sums[1:])
-    smallest = tokens.mix((sums[gram:] - sums[:-gram]) * inverse[: n - gram + 1])
-    at = np.arange(len(smallest), dtype=np.int32)
+    hashes = tokens.mix((sums[gram:] - sums[:-gram]) * inverse[: n - gram + 1])
+    # The place in the low bits: of equal hashes (in the bits above) the first wins.
+    low = np.uint64((1 << int(n).bit_length()) - 1)
+    smallest = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
     reach = 1
     while reach < width:
         step = min(reach, width - reach)
-        later = smallest[step:] < smallest[:-step]
-        smallest = np.where(later, smallest[step:], smallest[:-step])
-        at = np.where(later, at[step:], at[:-step])
+        smallest = np.minimum(smallest[:-step], smallest[step:])
         reach += step
     ends = np.repeat(bounds[1:], np.diff(bounds))[: len(smallest)]
     starts = np.flatnonzero(np.arange(len(smallest)) + length <= ends)
-    at = at[starts]
+    smallest = smallest[starts]
     new = np.ones(len(starts), dtype=bool)
-    new[1:] = (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)
+    new[1:] = (smallest[1:] != smallest[:-1]) | (starts[1:] != starts[:-1] + 1)
     first = np.flatnonzero(new)
-    return smallest[starts[first]], starts[first], np.diff(np.append(first, len(starts)))
+    at = (smallest[first] & low).astype(np.int64)
+    return hashes[at], starts[first], np.diff(np.append(first, len(starts)))
 
 
 def _scan(length: int, gram: int) -> callable:
@@ -113,10 +114,6 @@ def _scan(length: int, gram: int) -> callable:
 # --- longest previous factors -----------------------------------------------
 
 
-def _dense(values: np.ndarray) -> np.ndarray:
-    return np.unique(values, return_inverse=True)[1].astype(np.uint64)
-
-
 def smaller_neighbours(order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index of the nearest smaller value before and behind each value; -1 and n
     where there is none.  What lies between is no smaller, so a candidate that is
@@ -138,38 +135,26 @@ def smaller_neighbours(order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def previous_factors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, places: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """(length, source) for the suffixes ``data[starts:ends]``: the longest
     string, up to ``limit`` bytes, that a suffix shares with one of a smaller
-    place, and that suffix's index (-1: none)."""
-    n = len(data)
-    padded = np.concatenate([data, np.zeros(2 * limit + 16, dtype=np.uint8)])
-    words = np.lib.stride_tricks.sliding_window_view(padded, 8)[: n + 2 * limit + 8]
-    words = np.ascontiguousarray(words).view(">u8").ravel().astype(np.uint64)
-    # ranks[k]: order of the strings of 8 * 2 ** k bytes at every place
-    ranks, span = [_dense(words)], 8
-    while 2 * span <= limit:
-        low = ranks[-1]
-        behind = np.concatenate([low[span:], np.zeros(span, dtype=np.uint64)])
-        ranks.append(_dense((low << np.uint64(32)) | behind))
-        span *= 2
-    widest = ranks[-1]
-    order = np.lexsort((places, widest[starts + limit - span], widest[starts]))
+    place, and that suffix's index (-1: none).  Suffixes are sorted by their
+    first ``limit`` bytes, then by place."""
+    padded = np.concatenate([data, np.zeros(limit, dtype=np.uint8)])
+    suffixes = np.lib.stride_tricks.sliding_window_view(padded, limit)
+    in_place = np.argsort(places, kind="stable")
+    rows = np.ascontiguousarray(suffixes[starts[in_place]])
+    strings = pa.FixedSizeBinaryArray.from_buffers(pa.binary(limit), len(rows), [None, pa.py_buffer(rows)])
+    # Stable: of equal suffixes the one of the smallest place is first.
+    sorted_ = pc.array_sort_indices(strings).to_numpy().astype(np.int64)
+    order, rows = in_place[sorted_], rows[sorted_]
     before, behind = smaller_neighbours(places[order])
 
     def common(other: np.ndarray) -> np.ndarray:
         """Shared length of each suffix and the one at ``other`` in the order."""
-        met = (other >= 0) & (other < len(order))
+        met = np.flatnonzero((other >= 0) & (other < len(order)))
+        differ = np.ones((len(met), limit + 1), dtype=bool)
+        np.not_equal(rows[met], rows[other[met]], out=differ[:, :limit])
         a, b = order[met], order[other[met]]
-        i, j = starts[a], starts[b]
-        shared = np.zeros(len(a), dtype=np.int64)
-        step = span
-        for rank in reversed(ranks):
-            same = rank[i + shared] == rank[j + shared]
-            shared += step * same
-            step //= 2
-        differ = words[i + shared] ^ words[j + shared]
-        for k in range(8):
-            shared += (differ >> np.uint64(56 - 8 * k)) == 0
         out = np.zeros(len(order), dtype=np.int64)
-        out[met] = np.minimum(np.minimum(shared, limit), np.minimum(ends[a] - i, ends[b] - j))
+        out[met] = np.minimum(differ.argmax(axis=1), np.minimum(ends[a] - starts[a], ends[b] - starts[b]))
         return out
 
     left, right = common(before), common(behind)
