@@ -2,7 +2,8 @@
 
 Separators are ASCII in both word definitions used here, so bytes and code
 points split texts at the same places.  Words, and runs of words, are known by
-64-bit hashes.
+64-bit hashes: short words by a polynomial, which runs of bytes make cheap; long
+ones, for which unequal words of one value can be built, by xxhash.
 """
 
 from __future__ import annotations
@@ -14,9 +15,12 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 # Bytes of text handled in one go; a longer text is handled alone.
 SLICE_BYTES = 1 << 19
+# Bytes of a word that is hashed as a polynomial.
+SHORT_WORD = 64
 
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
@@ -91,6 +95,8 @@ def words(data: np.ndarray, bounds: np.ndarray, member: np.ndarray) -> Words:
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(_BYTE_VALUES[data] * power[: len(data)], out=sums[1:])
     hashes = mix((sums[ends] - sums[starts]) * inverse[starts])
+    for word in np.flatnonzero(ends - starts > SHORT_WORD):
+        hashes[word] = xxhash.xxh3_64_intdigest(data[starts[word] : ends[word]].tobytes())
     return Words(hashes, np.searchsorted(starts, bounds).astype(np.int64))
 
 

@@ -15,3 +15,12 @@ def odd_table(spark, more=()):
 
 def empty_table(spark):
     return spark.createDataFrame([], "doc_id long, text string")
+
+
+def alike_under_overflow(levels=10):
+    """Two words of a and b, of 2 ** levels letters, equal to every polynomial of
+    an odd base modulo 2 ** 64: a Thue-Morse word and its complement."""
+    word = "a"
+    for _ in range(levels):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))

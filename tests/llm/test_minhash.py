@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from odd import alike_under_overflow
 
 from earshot.llm import minhash
 from earshot.llm.components import connected_components
@@ -88,6 +89,14 @@ def test_odd_rows(spark):
     assert sorted(k for k in kept if k is not None) == [5, 6, 7, 8, 10, 11, 13, 15] and None in kept
 
 
+@pytest.mark.parametrize("levels", [6, 10, 11])
+def test_words_built_to_collide_are_not_copies(spark, levels):
+    one, other = alike_under_overflow(levels)
+    rows = [(1, f"some words {one} and more"), (2, f"some words {other} and more"), (3, one), (4, other)]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=4)
+    assert [r[2] for r in result(found)] == [1, 2, 3, 4]
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert minhash.near_duplicates(empty).collect() == []

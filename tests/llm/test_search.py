@@ -10,7 +10,7 @@ import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
-from odd import ODD, empty_table, odd_table
+from odd import ODD, alike_under_overflow, empty_table, odd_table
 from pyspark.sql import functions as F
 
 from earshot.llm import bpe, decontaminate, topk, urls
@@ -176,6 +176,13 @@ def brute_hits(documents, items):
     return sorted(rows, key=str)
 
 
+def test_words_built_to_collide_are_no_passage(spark):
+    one, other = alike_under_overflow()
+    documents = spark.createDataFrame([(1, f"x {one} y"), (2, f"x {other} y")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, one)], "item_id long, text string")
+    assert {r.doc_id: r.contaminated for r in decontaminate.benchmark_digests(documents, items).collect()} == {1: True, 2: False}
+
+
 @pytest.mark.parametrize("round_words", [2_000_000, 60])
 def test_benchmark_passages(spark, monkeypatch, round_words):
     monkeypatch.setattr(decontaminate, "ROUND_WORDS", round_words)
