@@ -14,6 +14,7 @@ streamed.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -173,7 +174,7 @@ class Scanner:
 
     def spans(self, runs: list[tuple[int, int, int, int]]) -> list[tuple[str, int, int, float]]:
         """Chains that cover enough of their template: (label, start, end, share)."""
-        found = []
+        found, chosen = [], {}
         for template in {r[0] for r in runs}:
             own = sorted((r[2], r[1], r[3]) for r in runs if r[0] == template)
             best: list[tuple[int, int, int]] = []  # (words covered, text start, previous)
@@ -190,11 +191,15 @@ class Scanner:
                             covered, begun = best[j][0] + fresh, best[j][1]
                 best.append((covered, begun, text + size))
             share = [(c / self.sizes[template], begun, end) for c, begun, end in best]
+            label = self.labels[template]
+            taken = chosen.setdefault(label, [])  # (start, end) in order, apart from each other
             for cover, begun, end in sorted(share, key=lambda x: (-x[0], x[1])):
                 if cover < LEAST_COVER:
                     break
-                if all(end <= s or begun >= e for label, s, e, _ in found if label == self.labels[template]):
-                    found.append((self.labels[template], begun, end, min(1.0, cover)))
+                at = bisect_left(taken, (begun, end))
+                if (at == 0 or taken[at - 1][1] <= begun) and (at == len(taken) or taken[at][0] >= end):
+                    taken.insert(at, (begun, end))
+                    found.append((label, begun, end, min(1.0, cover)))
         return sorted(found, key=lambda x: (x[1], x[0], x[2]))
 
 
