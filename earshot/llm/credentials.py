@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.spans import SPAN, Kind, listed, replaced, row_key, with_spans
+from earshot.llm.spans import SPAN, Kind, listed, row_key, with_replaced, with_spans, without_overlaps
 from earshot.llm.tables import keep, text_of
 from earshot.operators.hold import small_side
 
@@ -75,10 +75,7 @@ def _scanned(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     given = documents.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     keyed = given.select("doc_id", "text", *row_key("doc_id", "text"))
     spans = with_spans(keyed, "text", [*STRONG, *WEAK, *COMPLEMENT]).drop("text")
-    covered = lambda b: F.exists(
-        "_spans_assign", lambda a: (a["start"] < b["end"]) & (a["end"] > b["start"])
-    )
-    return spans.withColumn("_spans_bare", F.filter("_spans_bare", lambda b: ~covered(b)))
+    return without_overlaps(spans, "_spans_bare", F.col("_spans_assign"))
 
 
 def _spans_of(kinds: list[str]) -> Column:
@@ -110,8 +107,7 @@ def redact_secrets(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     text = text_of(text_col)
     keyed = documents.withColumns({"_key1": F.xxhash64(F.col(id_col), text), "_key2": F.xxhash64(F.lit(17), text, F.col(id_col))})
     spans = with_spans(keyed, text_col, STRONG).join(linked, ["_key1", "_key2"], "left")
-    redacted = replaced(F.col(text_col), _spans_of([*(k.name for k in STRONG), LINKED]), MARK)
-    return spans.withColumn(text_col, redacted).select(*documents.columns)
+    return with_replaced(spans, text_col, _spans_of([*(k.name for k in STRONG), LINKED]), MARK).select(*documents.columns)
 
 
 def secret_digests(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.spans import SPAN, Kind, listed, row_key, with_spans
+from earshot.llm.spans import SPAN, Kind, listed, row_key, with_spans, without_overlaps
 from earshot.llm.tables import if_small, keep, release, text_of
 
 ROUNDS = 3
@@ -75,10 +75,7 @@ def _last_word(before: Column) -> Column:
 def _scanned(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     given = documents.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     table = with_spans(given.select("doc_id", "text", *row_key("doc_id", "text")), "text", [*KINDS, _CANDIDATE])
-    overlaps = lambda c: F.exists(
-        _spans_of(_NAMES), lambda b: (b["start"] < c["end"]) & (b["end"] > c["start"])
-    )
-    return table.drop("text").withColumn("_spans_candidate", F.filter("_spans_candidate", lambda c: ~overlaps(c)))
+    return without_overlaps(table.drop("text"), "_spans_candidate", _spans_of(_NAMES))
 
 
 def _occurrences(table: DataFrame) -> DataFrame:
