@@ -20,8 +20,9 @@ from checks.demo_contacts import contacts_from_documents, with_demo_time
 from checks.oracle import statements
 from earshot import constants as C
 from earshot.functions import channels
-from earshot.operators import classify, clean, embed, evaluate, journeys, knn, lists, sentiment, similar, spikes, topics
+from earshot.operators import classify, clean, embed, evaluate, journeys, knn, linkage, lists, sentiment, similar, spikes, topics
 from earshot.operators.hold import shared_folder
+from earshot.operators.linkage import Field
 from earshot.session import prepare_session
 from earshot.sources.contacts import CLEANED_CONTACT, read_contacts, write_contacts
 
@@ -282,6 +283,26 @@ def contact_deflection(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(found, "rate")
 
 
+def crm_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers, and a list of four in five of them with errors and gaps, whose
+    ids are larger by a million, linked without their ids."""
+    known = spark.read.parquet(f"{sf}/customer.parquet").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"),
+        F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"),
+    )
+    one_in = lambda n, k: F.col("id") % n == k
+    listed = known.where(~one_in(5, 4)).select(
+        (F.col("id") + 1_000_000).alias("id"),
+        F.when(one_in(3, 0), F.translate("name", "#", "")).otherwise(F.col("name")).alias("name"),
+        F.when(~one_in(11, 3), F.col("nation")).alias("nation"),
+        F.when(~one_in(13, 5), F.col("segment")).alias("segment"),
+        F.when(one_in(4, 1), F.col("balance") + 0.3).otherwise(F.col("balance")).alias("balance"),
+    )
+    fields = [Field("name", "text", 1), Field("nation"), Field("segment"), Field("balance", "number", 0.5)]
+    blocks = [lambda t: F.concat("nation", F.lit("|"), "segment"), lambda t: F.floor(F.col("balance") / 5)]
+    return _rounded(linkage.link_records(known, listed, fields, blocks, "id", "id"), "weight", "probability")
+
+
 def topic_info(spark: SparkSession, sf: str) -> DataFrame:
     info = topics.topic_info(_given_topics(spark, sf), n_words=6)
     ids = F.transform("representative_ids", lambda i: i.cast("string"))
@@ -343,7 +364,7 @@ def queries() -> dict[str, Query]:
         topk_lists, topk_lists_recall, topk_per_channel, knn_predict, knn_eval, disagreements, train_test_split,
         sentiment_score, sentiment_distribution, sentiment_by_intent,
         sentiment_by_channel, top_negative, negative_spikes, contact_sessions,
-        next_contact, repeat_contact, contact_deflection, topic_info, topic_top_words,
+        next_contact, repeat_contact, contact_deflection, crm_links, topic_info, topic_top_words,
         topic_assignments, topic_crosstab, topic_crosstab_dense, topic_alignment,
         topic_fit, jsonl_roundtrip,
     ):

@@ -30,14 +30,20 @@ def test_query_equals_sql(spark, sql, name):
     assert compare(spark, sql, name, SF) == ""
 
 
-# Tested on planted data instead: splitting and quantising are iterative.
-WITHOUT_SQL = {"topic_fit", "topk_lists", "topk_lists_recall"}
+# Tested on planted data instead: splitting, quantising and linking are iterative.
+WITHOUT_SQL = {"topic_fit", "topk_lists", "topk_lists_recall", "crm_links"}
 
 
 def test_every_query_has_sql():
     assert set(OWN) - WITHOUT_SQL <= set(entry.oracle_sql())
 
 
+def test_customers_are_linked(spark):
+    pairs = {(r["left_id"], r["right_id"]) for r in entry.crm_links(spark, SF).collect()}
+    truth = {(k, k + 1_000_000) for k in range(spark.read.parquet(f"{SF}/customer.parquet").count()) if k % 5 != 4}
+    assert len(pairs & truth) >= 0.95 * len(truth) and len(pairs & truth) >= 0.95 * len(pairs)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == len(C.CHANNELS)
 
