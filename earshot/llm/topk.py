@@ -303,12 +303,14 @@ def top_k(
     asked = known.where(is_query).select("vec_id", "vector", "length", "row").mapInArrow(
         _first_floor(seeds, k), "vec_id long, vector array<double>, length double, row long, floor double"
     )
-    asked = asked.withColumn("part", F.pmod(F.xxhash64("vec_id", "row"), F.lit(n_query_blocks)).cast("int"))
+    asked = keep(asked.withColumn("part", F.pmod(F.xxhash64("vec_id", "row"), F.lit(n_query_blocks)).cast("int")), "asked")
     reaches = F.col("length") * F.col("longest") * UNIT * (1 + SLACK) >= F.col("floor")
     visits = asked.join(if_small(longest), reaches).select(
         "block", "part", F.col("vec_id").alias("query_id"), "vector", "floor"
     )
-    meeting = blocks.select("block", F.explode(F.sequence(F.lit(0), F.lit(n_query_blocks - 1))).alias("part"), "vec_id", "vector")
+    # A block is copied to the parts of the queries that have a query for it.
+    visited = if_small(keep(visits.select("block", "part").distinct(), "visited"))
+    meeting = blocks.join(visited, "block").select("block", "part", "vec_id", "vector")
     found = (
         visits.groupBy("block", "part")
         .cogroup(meeting.groupBy("block", "part"))
