@@ -52,13 +52,8 @@ def _meet(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(right, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col(key) == F.col("_node"))).drop("_conv", "_node")
 
 
-def root_to_leaf_paths(tree: DataFrame) -> DataFrame:
-    """(conv_id, leaf, node, above): the messages of each path, ``above`` steps
-    above its leaf.  ``tree`` is (conv_id, node, parent).
-
-    A parent that is not there makes a root.  Messages that answer each other
-    in a circle, and what hangs on them, have no root and are left out.
-    """
+def _climbed(tree: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(leaves that a root leads to, up_0, up_1, ...) of (conv_id, node, parent)."""
     nodes = tree.select("conv_id", "node")
     there = _meet(tree.select("conv_id", F.col("node").alias("child"), "parent"), nodes, "parent")
     first = keep(there.select("conv_id", F.col("child").alias("node"), F.col("parent").alias("up")), "up")
@@ -77,6 +72,10 @@ def root_to_leaf_paths(tree: DataFrame) -> DataFrame:
     leaves = _without(nodes, inner)
     if rooted is not None:
         leaves = _without(leaves, rooted.select("conv_id", "node"))
+    return leaves, ups
+
+
+def _expanded(leaves: DataFrame, ups: list[DataFrame]) -> DataFrame:
     paths = leaves.select("conv_id", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("above"))
     for t, up in enumerate(ups):
         higher = _meet(paths, up, "node").select("conv_id", "leaf", F.col("up").alias("node"), (F.col("above") + 2**t).alias("above"))
@@ -87,19 +86,43 @@ def root_to_leaf_paths(tree: DataFrame) -> DataFrame:
     return paths
 
 
+def root_to_leaf_paths(tree: DataFrame) -> DataFrame:
+    """(conv_id, leaf, node, above): the messages of each path, ``above`` steps
+    above its leaf.  ``tree`` is (conv_id, node, parent).
+
+    A parent that is not there makes a root.  Messages that answer each other
+    in a circle, and what hangs on them, have no root and are left out.
+    """
+    return _expanded(*_climbed(tree))
+
+
 def _without(nodes: DataFrame, others: DataFrame) -> DataFrame:
     others = others.withColumnsRenamed({"conv_id": "_conv", "node": "_node"})
     same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("node") == F.col("_node"))
     return nodes.join(others, same, "left_anti")
 
 
-def _best_branches(paths: DataFrame, tree: DataFrame, branches: int) -> DataFrame:
-    """(conv_id, leaf, branch): the best by score, ties to the smaller leaf."""
-    scored = _meet(paths, tree.select("conv_id", "node", "score"), "node")
-    total = scored.groupBy("conv_id", "leaf").agg(F.sum("score").alias("total"))
-    best_first = Window.partitionBy("conv_id").orderBy(F.desc("total"), "leaf")
-    ranked = total.withColumn("branch", F.row_number().over(best_first))
-    return ranked.where(F.col("branch") <= branches).select("conv_id", "leaf", "branch")
+def _path_scores(tree: DataFrame, ups: list[DataFrame]) -> DataFrame:
+    """(conv_id, node, total) of every message: the scores from it to its root.
+    After round t the sum of 2**t messages; paths are not written out for it."""
+    sums = tree.select("conv_id", "node", F.col("score").alias("total"))
+    for t, up in enumerate(ups):
+        above = _meet(up, sums.withColumnRenamed("total", "more"), "up").select("conv_id", "node", "more")
+        above = above.withColumnsRenamed({"conv_id": "_conv", "node": "_node"})
+        same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("node") == F.col("_node"))
+        total = F.col("total") + F.coalesce("more", F.lit(0.0))
+        longer = keep(sums.join(above, same, "left").select("conv_id", "node", total.alias("total")), "sums")
+        if t:
+            release(sums)
+        sums = longer
+    return sums
+
+
+def _best_branches(leaves: DataFrame, scores: DataFrame, branches: int) -> DataFrame:
+    """(conv_id, node, branch): the best leaves by score, ties to the smaller one."""
+    best_first = Window.partitionBy("conv_id").orderBy(F.desc("total"), "node")
+    ranked = _meet(leaves, scores, "node").withColumn("branch", F.row_number().over(best_first))
+    return ranked.where(F.col("branch") <= branches).select("conv_id", "node", "branch")
 
 
 def format_trees(tree: DataFrame, branches: int = 1) -> DataFrame:
@@ -108,17 +131,19 @@ def format_trees(tree: DataFrame, branches: int = 1) -> DataFrame:
     texts (code points, end exclusive).
 
     ``tree``: conv_id, node (long, unique in its conversation), parent, role,
-    text, score.  Null roles and texts count as empty, null scores as 0, a null
-    conv_id as a conversation of its own.  Other columns are ignored.
+    text, score.  Null roles and texts count as empty, null scores and those that
+    are no number as 0, a null conv_id as a conversation of its own.  Other
+    columns are ignored.  Only chosen paths are written out.
     """
     tree = tree.select(
         "conv_id", "node", "parent", text_of("role").alias("role"), text_of("text").alias("text"),
-        F.coalesce("score", F.lit(0.0)).alias("score"),
+        F.coalesce(F.nanvl(F.col("score").cast("double"), F.lit(0.0)), F.lit(0.0)).alias("score"),
     )
     tree = keep(tree, "messages")
-    paths = root_to_leaf_paths(tree.select("conv_id", "node", "parent"))
-    chosen = _best_branches(paths, tree, branches)
-    chosen = chosen.withColumnsRenamed({"conv_id": "_conv", "leaf": "_leaf"})
+    leaves, ups = _climbed(tree.select("conv_id", "node", "parent"))
+    chosen = keep(_best_branches(leaves, _path_scores(tree, ups), branches), "branches")
+    paths = _expanded(chosen.select("conv_id", "node"), ups)
+    chosen = chosen.withColumnsRenamed({"conv_id": "_conv", "node": "_leaf"})
     same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("leaf") == F.col("_leaf"))
     turns = _meet(paths.join(chosen, same).drop("_conv", "_leaf"), tree.select("conv_id", "node", "role", "text"), "node")
     turn = F.struct((-F.col("above")).alias("place"), "role", escaped(F.col("role")).alias("who"), escaped(F.col("text")).alias("what"))

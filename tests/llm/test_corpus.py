@@ -55,6 +55,26 @@ def digest(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_only_chosen_paths_are_written(spark, monkeypatch):
+    """A thread 300 deep with a leaf at each message: one path, 301 rows."""
+    rows = [(1, k, k - 1 if k else None, "user", f"m{k}", 0.0) for k in range(300)]
+    rows += [(1, 1000 + k, k, "assistant", f"leaf{k}", float(k == 299) + (k == 7) * 0.5 + (float("nan") if k == 9 else 0)) for k in range(300)]
+    tree = spark.createDataFrame(rows, "conv_id long, node long, parent long, role string, text string, score double")
+    written, real = [], chat.keep
+
+    def counting(table, name):
+        kept = real(table, name)
+        if name == "paths":
+            written.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(chat, "keep", counting)
+    one = chat.format_trees(tree).first()
+    assert max(written) == 301 and one.formatted.endswith("leaf299</s>") and one.formatted.count("[/INST]") == 301
+    two = {r.branch: r.formatted for r in chat.format_trees(tree, branches=2).collect()}
+    assert two[2].endswith("leaf7</s>") and two[2].count("[/INST]") == 9
+
+
 def test_trees(spark):
     rows = [
         (1, 1, None, "user", "root", 0.0), (1, 2, 1, "assistant", "poor", 1.0), (1, 3, 1, "assistant", "good", 2.0),
