@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 
 from earshot.llm.tokens import chunks, gathered, offsets
 
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 260_000
 # Bytes of text whose distinct pieces are encoded together.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 3 << 20
 # Texts whose ids are handed on together.
 TEXTS_TOGETHER = 256
 _MASK = (1 << 64) - 1
