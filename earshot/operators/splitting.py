@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 
 from earshot.operators.similar import _matrix
 
-SAMPLE_ROWS = 16_384
+SAMPLE_ROWS = 4_096
 LEAST_SAMPLE = 24
 MAX_ROUNDS = 20
 # Groups that one split may make.
-MOST_AT_ONCE = 64
+MOST_AT_ONCE = 32
 # Rows and centres whose distances are computed in one go.
 _CELLS = 1 << 22
 # How many rows the variance of all clusters counts for in that of two.
@@ -82,15 +82,16 @@ def nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
 def _means(points: np.ndarray, centres: np.ndarray) -> tuple[float, np.ndarray]:
     """(squared distances in all, group of each row) after a few rounds of k-means."""
     of = None
-    for _ in range(12):
+    for _ in range(8):
         now = nearest(points, centres)
         if of is not None and (now == of).all():
             break
         of = now
         sizes = np.bincount(of, minlength=len(centres))
-        sums = np.zeros_like(centres)
-        np.add.at(sums, of, points)
-        centres = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], centres)
+        met = sizes > 0
+        by = np.argsort(of, kind="stable")
+        centres = centres.copy()
+        centres[met] = np.add.reduceat(points[by], (np.cumsum(sizes) - sizes)[met], axis=0) / sizes[met][:, None]
     return float(((points - centres[of]) ** 2).sum()), of
 
 
@@ -120,7 +121,7 @@ def _starts(part: np.ndarray, rng: np.random.Generator) -> Iterator[list[np.ndar
     yield [np.stack([far, farther]), np.stack([centre + width, centre - width]), _spread_out(part, 2, rng)]
     k = 4
     while k <= min(MOST_AT_ONCE, len(part) // 3):
-        yield [_spread_out(part, k, rng) for _ in range(2)]
+        yield [_spread_out(part, k, rng)]
         k *= 2
 
 
