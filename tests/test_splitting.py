@@ -45,3 +45,17 @@ def test_criterion_keeps_a_round_group_whole():
         assert len(splitting.propose(rng.normal(size=(n, dim)), 1e-9, rng)) == 1
     two = np.vstack([rng.normal(size=(100, 5)), rng.normal(size=(12, 5)) + 8])
     assert len(splitting.propose(two, 1e-9, rng)) == 2
+
+
+def test_only_clusters_that_may_be_split_send_samples(spark, monkeypatch):
+    sent, real = [], splitting._round
+
+    def counting(*args):
+        groups, samples = real(*args)
+        sent.append((len(groups.n), len(samples)))
+        return groups, samples
+
+    monkeypatch.setattr(splitting, "_round", counting)
+    splitting.find_centres(planted(spark, 20, 800, 24, noise=0.1))
+    # Sums of proposed parts come without samples, and settled clusters send none.
+    assert len(sent) >= 3 and all(n == 0 for _, n in sent[1::2]) and all(n <= k for k, n in sent)
