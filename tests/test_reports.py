@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from earshot import constants as C
 from earshot.operators import evaluate, sentiment, topics
 from earshot.plans import jobs
-from earshot.operators.embed import embed_one
+from earshot.operators.embed import embed_hashing, embed_one
 
 
 def scored(spark, rows):
@@ -270,3 +270,15 @@ def test_first_per_channel(spark):
     shown = {r["channel"]: r for r in evaluate.preview_per_channel(table).collect()}
     assert shown["chat"]["before"] == "x" * 140 + "…" and shown["phone"]["after"] == "hi"
     assert [tuple(r) for r in evaluate.distribution(table, "intent").collect()] == [("A", 3), ("B", 1)]
+
+
+def test_topic_info_makes_its_rows_once(spark, monkeypatch):
+    """Texts are cleaned and encoded in one job, not once for each part."""
+    plans, real = [], topics.hold
+    plan_of = lambda t: t._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(topics, "hold", lambda t: plans.append(plan_of(t)) or real(t))
+    rows = [(k, k % 3, f"word{k % 5} other") for k in range(30)]
+    contacts = embed_hashing(spark.createDataFrame(rows, "contact_id long, topic int, cleaned_text string"))
+    info = topics.topic_info(contacts)
+    assert [p.count("ArrowEvalPython") for p in plans] == [1] and "ArrowEvalPython" not in plan_of(info)
+    assert info.agg(F.sum("n")).first()[0] == 30
