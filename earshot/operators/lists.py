@@ -32,6 +32,8 @@ MAX_LISTS = 4096
 ROWS_A_LIST = 64
 # Queries whose exact neighbours say how many lists to probe.
 TUNING_QUERIES = 256
+# Queries and centres whose products are ranked in one go.
+PROBED_CELLS = 1 << 20
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -63,10 +65,13 @@ def _dealt(rows: DataFrame, centres: np.ndarray) -> DataFrame:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pc.is_valid(batch.column("_vector")))
-            found = np.zeros(batch.num_rows, dtype=np.int64)
-            if len(centres) > 1 and batch.num_rows:
-                found = nearest(_unit(similar._matrix(batch.column("_vector"))), centres)
-            yield batch.append_column("_list", pa.array(found, pa.int32()))
+            step = max(1, PROBED_CELLS // len(centres))
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                found = np.zeros(part.num_rows, dtype=np.int64)
+                if len(centres) > 1:
+                    found = nearest(_unit(similar._matrix(part.column("_vector"))), centres)
+                yield part.append_column("_list", pa.array(found, pa.int32()))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     return rows.mapInArrow(deal, f"{fields}, _list int")
@@ -109,18 +114,23 @@ def _by_nearness(vectors: np.ndarray, centres: np.ndarray, probes: int) -> np.nd
     return np.argsort(-near, axis=1, kind="stable")[:, :probes]
 
 
+def _with_lists(batch: pa.RecordBatch, centres: np.ndarray, probes: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of PROBED_CELLS, with ``_lists``."""
+    step = max(1, PROBED_CELLS // len(centres))
+    for at in range(0, batch.num_rows, step):
+        part = batch.slice(at, step)
+        found = _by_nearness(similar._matrix(part.column("_vector")), centres, probes)
+        offsets = np.arange(len(found) + 1, dtype=np.int32) * found.shape[1]
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.ravel(), pa.int32()))
+        yield part.append_column("_lists", lists)
+
+
 def _probing(queries: DataFrame, centres: np.ndarray, probes: int) -> DataFrame:
     """A row for each query and list that it probes."""
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            step = max(1, similar.BLOCK_ROWS * similar.BLOCK_ROWS // len(centres))
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
-                found = _by_nearness(similar._matrix(part.column("_vector")), centres, probes)
-                offsets = np.arange(len(found) + 1, dtype=np.int32) * found.shape[1]
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.ravel(), pa.int32()))
-                yield part.append_column("_lists", lists)
+            yield from _with_lists(batch, centres, probes)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in queries.schema.fields)
     return queries.mapInArrow(probe, f"{fields}, _lists array<int>")

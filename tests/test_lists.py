@@ -1,6 +1,9 @@
 """Inverted lists against the exact search."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from test_similar import brute_force, same, table_of, unit
 
@@ -66,3 +69,16 @@ def test_small_and_empty(spark, corpus):
         lists.search_lists(one, table, 0)
     with pytest.raises(ValueError):
         lists.build_lists(table, n_lists=0)
+
+
+def test_probing_needs_bounded_memory():
+    """As many lists as there may be, and a full batch of queries."""
+    rng = np.random.default_rng(2)
+    vectors, centres = rng.normal(size=(2500, 8)).astype(np.float32), rng.normal(size=(4096, 8))
+    batch = pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(vectors.ravel()), 8).cast(pa.list_(pa.float32()))], ["_vector"])
+    tracemalloc.start()
+    found = [row for part in lists._with_lists(batch, centres, 9) for row in part.column("_lists").to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20
+    assert found == lists._by_nearness(vectors.astype(np.float64), centres, 9).tolist()
