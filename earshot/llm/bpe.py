@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from earshot.llm.memory import give_back, giving_back
 from earshot.llm.tokens import chunks, gathered, offsets
 
 MEMO_ENTRIES = 260_000
@@ -213,6 +214,11 @@ class Codec:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's begin."""
+        return next(self.encoded(texts, max(len(texts), 1)))
+
+    def encoded(self, texts: pa.Array, together: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same for ``together`` texts at a time: ids are many times the
+        distinct parts, from which they are gathered."""
         parts, of, starts = self._places(texts)
         number: dict[str, int] = {}
         n_tokens, tokens = [], []
@@ -227,8 +233,12 @@ class Codec:
         of_part = np.array(tokens, dtype=np.int64)
         ids = ids[gathered(offsets(sizes)[of_part], sizes[of_part])]
         sizes = np.diff(offsets(sizes[of_part])[offsets(np.array(n_tokens, dtype=np.int64))])
-        ids = ids[gathered(offsets(sizes)[of], sizes[of])]
-        return ids, offsets(sizes[of])[starts]
+        begins = offsets(sizes)
+        del parts, number, packed, tokens, of_part
+        for at in range(0, max(len(texts), 1), together):
+            bounds = starts[at : at + together + 1]
+            own = of[bounds[0] : bounds[-1]]
+            yield ids[gathered(begins[own], sizes[own])], offsets(sizes[own])[bounds - bounds[0]]
 
     def decode(self, ids: np.ndarray) -> bytes:
         return self.flat[gathered(self.starts[ids], self.lengths[ids])].tobytes()
@@ -280,28 +290,27 @@ def encode_documents(
 
     def rows(batch: pa.RecordBatch, codec: Codec) -> Iterator[pa.RecordBatch]:
         texts = batch.column(1).fill_null("")
-        ids, starts = codec.encode(texts)
-        for at in range(0, batch.num_rows, TEXTS_TOGETHER):
-            bounds = starts[at : at + TEXTS_TOGETHER + 1]
+        for k, (ids, bounds) in enumerate(codec.encoded(texts, TEXTS_TOGETHER)):
             own = [ids[s:e] for s, e in zip(bounds[:-1], bounds[1:])]
             digests = [hashlib.sha256(x.tobytes()).hexdigest() for x in own]
             decoded = [hashlib.sha256(codec.decode(x)).hexdigest() for x in own]
             columns = [pa.array(np.diff(bounds)), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
             if with_ids:
-                listed = pa.array(ids[bounds[0] : bounds[-1]].astype(np.int32))
-                columns.append(pa.ListArray.from_arrays(pa.array((bounds - bounds[0]).astype(np.int32)), listed))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, TEXTS_TOGETHER), *columns], names)
+                listed = pa.array(ids.astype(np.int32))
+                columns.append(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), listed))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(k * TEXTS_TOGETHER, TEXTS_TOGETHER), *columns], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(*shared.value)
         for batch in batches:
             for first, end in chunks(batch.column(1), CHUNK_BYTES):
                 yield from rows(batch.slice(first, end - first), codec)
+                give_back()
 
     given = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     id_type = given.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return given.mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))
+    return given.mapInArrow(giving_back(run), schema + (", ids array<int>" if with_ids else ""))
 
 
 def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

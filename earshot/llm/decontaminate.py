@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.llm import tokens
+from earshot.llm.memory import giving_back
 from earshot.llm.tables import if_small, keep, text_of
 
 WINDOW = 10
@@ -326,13 +327,13 @@ def find_benchmark(
         rounds = chain([first, second], rounds)
     found = []
     for tests in rounds:
-        index = keep(asked.mapInArrow(_shards(tests.terms), f"ids array<{key}>, {_POSTINGS}"), "postings")
+        index = keep(asked.mapInArrow(giving_back(_shards(tests.terms)), f"ids array<{key}>, {_POSTINGS}"), "postings")
         counts = _frequencies(index, len(tests.terms))
         # Rarest word first; what a short item lacks comes last.
         of = np.where(tests.window_terms >= 0, np.append(counts, 0)[tests.window_terms], np.iinfo(np.int64).max)
         order = np.argsort(of, axis=1, kind="stable")
         shared = context.broadcast((tests, order))
-        found.append(index.mapInArrow(_lookup(shared), f"id {key}, {_FOUND}"))
+        found.append(index.mapInArrow(giving_back(_lookup(shared)), f"id {key}, {_FOUND}"))
     if second is None:
         joined = found[0].withColumnRenamed("id", "doc_id")
     else:

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from earshot.llm import tokens
 from earshot.llm.components import connected_components
+from earshot.llm.memory import giving_back
 from earshot.llm.tables import if_small, keep, release
 
 BANDS, ROWS = 32, 4
@@ -287,7 +288,7 @@ def _links(groups: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     stars = groups.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
     for side in ("u", "v"):
         stars = stars.join(full.withColumnsRenamed({"doc_id": side, "shingles": f"set_{side}"}), side)
-    stars = stars.select("u", "v", "set_u", "set_v").mapInArrow(_similar(percent), "u long, v long")
+    stars = stars.select("u", "v", "set_u", "set_v").mapInArrow(giving_back(_similar(percent)), "u long, v long")
     stars = keep(stars, "star-links")
 
     # A star is its own component; all sets that it did not reach are singles.
@@ -335,7 +336,7 @@ def near_duplicates(
     if not 80 <= similarity_percent <= 100:
         raise ValueError("similarity_percent must be from 80 to 100")
     given = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    profile = keep(given.mapInArrow(_profiles(words), PROFILE), "profiles")
+    profile = keep(given.mapInArrow(giving_back(_profiles(words)), PROFILE), "profiles")
     usable = profile.where("doc_id IS NOT NULL AND n_shingles > 0")
     first = keep(usable.groupBy("digest").agg(F.min("doc_id").alias("v"), F.count("*").alias("n")), "digests")
     copies = (
@@ -348,7 +349,7 @@ def near_duplicates(
 
     groups = keep(_agreeing_groups(sets), "groups")
     asked = given.join(if_small(groups.select(F.col("node").alias("doc_id"))), "doc_id", "left_semi")
-    full = asked.mapInArrow(_full_sets(words), "doc_id long, shingles binary")
+    full = asked.mapInArrow(giving_back(_full_sets(words)), "doc_id long, shingles binary")
     full = keep(full.distinct() if repeated else full, "full-sets")
     links = _links(groups, full, similarity_percent).unionByName(copies.where("u <> v").distinct())
     components = connected_components(links)

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot.llm import tokens
+from earshot.llm.memory import giving_back
 from earshot.llm.tables import keep
 
 FOLDS, HELD_OUT = 3, 1
@@ -100,7 +101,7 @@ def measure(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 )
 
     id_type = given.schema["doc_id"].dataType.simpleString()
-    return given.mapInArrow(run, f"doc_id {id_type}, measures array<float>")
+    return given.mapInArrow(giving_back(run), f"doc_id {id_type}, measures array<float>")
 
 
 def _moments(measured: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
@@ -207,4 +208,4 @@ def drop_poor(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
                 good = _scores(_measured(data, bounds), weights) >= GOOD
                 yield batch.slice(at, len(good)).filter(pa.array(good))
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(giving_back(run), documents.schema)
